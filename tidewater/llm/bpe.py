@@ -101,7 +101,7 @@ class Encoder:
             self.tokens[rank] = token
         self.split = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
-        self.encode = Chunks(self._many)
+        self.encode = Chunks(self._many, 800_000)
 
     def _many(self, chunks: list[str]) -> list[bytes]:
         found = []

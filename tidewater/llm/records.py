@@ -37,6 +37,8 @@ NO_ID = -(1 << 63)
 #: The constant that masking adds.
 MASK = 0xA282EAD8
 SLICE = 256
+#: Chunks that the tokenizer gets as one text.
+TOGETHER = 64
 #: Bytes of records that a reader fetches at once, at least one record.
 FETCH = 8 << 20
 
@@ -73,13 +75,21 @@ def library_encoder(vocabulary: str, mark: int | None = None) -> Chunks:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(place(vocabulary))
+    # chunks are encoded together, a special token between them: the library splits there before all else
+    between, sep = next((x.content, i) for i, x in tokenizer.get_added_tokens_decoder().items() if x.special)
+    tail = b"" if mark is None else struct.pack("<H", mark)
 
     def many(chunks: list[str]) -> list[bytes]:
-        found = [np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        if mark is not None:
-            tail = struct.pack("<H", mark)
-            found = [x + tail if c[-1] in ".!?\n" else x for x, c in zip(found, chunks)]
-        return found
+        groups, found = [chunks[i : i + TOGETHER] for i in range(0, len(chunks), TOGETHER)], []
+        for group, said in zip(groups, tokenizer.encode_batch_fast([between.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(said.ids, "<u2")
+            cuts = [-1, *np.flatnonzero(ids == sep).tolist(), len(ids)]
+            if len(cuts) == len(group) + 1:
+                raw = ids.tobytes()
+                found.extend(raw[2 * a + 2 : 2 * b] for a, b in zip(cuts, cuts[1:]))
+            else:  # a chunk holds the special token itself
+                found.extend(np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch_fast(group, add_special_tokens=False))
+        return found if mark is None else [x + tail if c[-1] in ".!?\n" else x for x, c in zip(found, chunks)]
 
     if tokenizer.get_vocab_size() > 65_535:
         raise ValueError("ids of this vocabulary need more than 16 bits")

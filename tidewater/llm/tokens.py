@@ -15,7 +15,7 @@ from collections.abc import Callable
 import public_tokenizers
 
 #: Chunks that a worker keeps; beyond it the table is emptied and filled anew.
-KEPT = 500_000
+KEPT = 1_200_000
 
 
 def kept(name: str, make: Callable):
