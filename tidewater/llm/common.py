@@ -31,11 +31,20 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED
 
 
+#: Drops a query's shuffle files as soon as it has ended.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage and survives lost executors."""
+    """Write df to the shared folder and read it again: cuts lineage, survives lost executors, and frees the shuffle files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, packing, quality, records, simhash, toxicity
+from . import bpe, chat, fingerprints, packing, quality, records, simhash, suffix, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_fingerprints": fingerprints.query,
     "op3_simhash": simhash.query,
+    "op4_suffix_dedup": suffix.query,
     "op5_quality": quality.query,
     "op6_bpe": bpe.query,
     "op8_records": records.query,
