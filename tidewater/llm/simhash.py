@@ -188,6 +188,20 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return marked.join(labels, marked.fp == labels.node).select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: the one of least doc_id, nulls last, then the first stored.
+
+    docs must give the same rows in the same order each time it is read, as a stored table does.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    owners = rows.select(F.col("_row").alias("o_row"), F.col("doc_id").cast("long").alias("o_id"))
+    # rows of a group in order of doc_id: the least is an aggregate, so no group is gathered
+    ordered = found.join(owners, found.doc_id == owners.o_row).select("component_id", F.struct(F.col("o_id").isNull().alias("none"), "o_id", "o_row").alias("who"))
+    firsts = ordered.groupBy("component_id").agg(F.min("who").alias("who")).select(F.col("who.o_row").alias("k_row"))
+    return rows.join(firsts, rows._row == firsts.k_row, "left_semi").drop("_row")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -254,5 +254,41 @@ def cut(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, schema)
 
 
+def cut_table(docs: DataFrame) -> DataFrame:
+    """docs with all their columns, text without what cut() removes and n_chars, if there is one, of what is left.
+
+    docs must give the same rows in the same order each time it is read, as a stored table does.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    # the order of documents decides what is earlier; the number of a stored row tells equal doc_ids apart
+    own = materialise(rows.select(F.col("doc_id").cast("long").alias("_id"), "_row").repartitionByRange("_id", "_row").sortWithinPartitions("_id", "_row").withColumn("key", F.monotonically_increasing_id()).select("key", F.col("_row").alias("k_row")))
+    numbered = rows.join(own, rows._row == own.k_row).select("key", F.col("_row").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    spans = repeated_spans(numbered)
+    lists = spans.filter(F.col("kind") == SPAN).join(own.withColumnRenamed("key", "o_key"), F.col("key") == F.col("o_key")).groupBy("k_row").agg(F.collect_list("a").alias("_froms"), F.collect_list("b").alias("_tos"))
+    joined = rows.join(lists, rows._row == lists.k_row, "left").drop("_row", "k_row")
+    at = docs.columns.index("text")
+    chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                columns = list(part.columns)
+                froms, tos = columns[-2].to_pylist(), columns[-1].to_pylist()
+                texts = columns[at].to_pylist()
+                for i, (text, f) in enumerate(zip(texts, froms)):
+                    if f:
+                        raw = np.frombuffer(text.encode(), np.uint8)
+                        texts[i] = raw[~covered(len(raw), f, tos[i])].tobytes().decode(errors="ignore")
+                if chars is not None:
+                    old = columns[chars].to_pylist()
+                    columns[chars] = pa.array([len(t) if f else n for t, f, n in zip(texts, froms, old)], columns[chars].type)
+                columns[at] = pa.array(texts, columns[at].type)
+                yield pa.RecordBatch.from_arrays(columns[:-2], names)
+
+    names = docs.columns
+    return joined.mapInArrow(work, docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut(table(spark, sf_dir, "documents")).drop("kept_text")
