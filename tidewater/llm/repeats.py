@@ -26,12 +26,16 @@ ANCHORS = "name long, ctx long, key long, loc long, kind int"
 RESOLVED = "key long, a long, b long, kind int"
 
 
+def has_keys(docs: DataFrame) -> bool:
+    """Whether doc_id is never null and never repeated."""
+    return not docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").limit(1).take(1)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """key, doc_id and text. key orders documents as doc_id does and tells rows apart: it is doc_id if that is unique and
     not null, else a number that follows (doc_id, text), nulls first. docs must give the same rows each time they are read."""
     own = text_of(docs)
-    again = own.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").limit(1)
-    if not again.take(1):
+    if has_keys(own):
         return own.select(F.col("doc_id").alias("key"), "doc_id", "text")
     ordered = own.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
     return materialise(ordered.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"))

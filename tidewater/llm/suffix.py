@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, ship, table
-from .repeats import ANCHORS, ODD, SPAN, Powers, anchor_rows, asked, covered, grouped, keyed, mix, prefix_sums, ranges, resolve, sliding_min, spans_of, with_spans
+from .repeats import ANCHORS, ODD, SPAN, Powers, anchor_rows, asked, covered, grouped, has_keys, keyed, mix, prefix_sums, ranges, resolve, sliding_min, spans_of, with_spans
 from .tokens import kept
 
 WIDTH, GRAM = 100, 32
@@ -259,13 +259,16 @@ def cut_table(docs: DataFrame) -> DataFrame:
 
     docs must give the same rows in the same order each time it is read, as a stored table does.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    # the order of documents decides what is earlier; the number of a stored row tells equal doc_ids apart
-    own = materialise(rows.select(F.col("doc_id").cast("long").alias("_id"), "_row").repartitionByRange("_id", "_row").sortWithinPartitions("_id", "_row").withColumn("key", F.monotonically_increasing_id()).select("key", F.col("_row").alias("k_row")))
-    numbered = rows.join(own, rows._row == own.k_row).select("key", F.col("_row").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = repeated_spans(numbered)
-    lists = spans.filter(F.col("kind") == SPAN).join(own.withColumnRenamed("key", "o_key"), F.col("key") == F.col("o_key")).groupBy("k_row").agg(F.collect_list("a").alias("_froms"), F.collect_list("b").alias("_tos"))
-    joined = rows.join(lists, rows._row == lists.k_row, "left").drop("_row", "k_row")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    if has_keys(ids):
+        rows = docs.withColumn("_key", F.col("doc_id").cast("long"))
+    else:  # the number of a stored row tells equal doc_ids apart; their order decides what is earlier
+        numbers = docs.select(F.col("doc_id").cast("long").alias("_id"), F.monotonically_increasing_id().alias("_number"))
+        order = materialise(numbers.repartitionByRange("_id", "_number").sortWithinPartitions("_id", "_number").select("_number", F.monotonically_increasing_id().alias("_key")))
+        rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()).join(order, F.col("_row") == F.col("_number")).drop("_row", "_number"))
+    spans = repeated_spans(rows.select(F.col("_key").alias("key"), F.coalesce("text", F.lit("")).alias("text")))
+    lists = spans.filter(F.col("kind") == SPAN).groupBy("key").agg(F.collect_list("a").alias("_froms"), F.collect_list("b").alias("_tos"))
+    joined = rows.join(lists, rows._key == lists.key, "left").select(*docs.columns, "_froms", "_tos")
     at = docs.columns.index("text")
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
