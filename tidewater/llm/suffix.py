@@ -33,7 +33,7 @@ from .tokens import kept
 
 WIDTH, GRAM = 100, 32
 #: Bytes of contexts in one run-length index, beyond which the next group of contexts starts another.
-INDEX = 1 << 20
+INDEX = 1 << 19
 
 
 def anchors_of(keys: list[int], texts: list[str], width: int = WIDTH) -> pa.RecordBatch | None:
@@ -112,43 +112,50 @@ class RunIndex:
     run's head and the length on which they agree."""
 
     def __init__(self, text: np.ndarray):
-        """text: small numbers, 0 for a separator."""
+        """text: numbers up to 256, 0 for a separator."""
         n = len(text)
-        x = np.concatenate([text.astype(np.int64) + 1, np.zeros(8, np.int64)])
-        packed = np.zeros(n, np.int64)
+        x = np.concatenate([text.astype(np.int64), np.zeros(8, np.int64)])
+        # seven symbols in one number; a separator ends them, and differs from every other separator
+        packed, alive = np.zeros(n, np.int64), np.ones(n, bool)
         for j in range(7):
-            packed = packed << 9 | x[j : j + n]
-        ranks, depth = [], 7
-        order = np.argsort(packed, kind="stable")
+            alive &= x[j : j + n] != 0
+            packed = packed << 9 | np.where(alive, x[j : j + n], 0)
+        ranks, depth, new = [], 7, ~alive
+        del alive
         while True:
-            sorted_keys = packed[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.concatenate([[0], np.cumsum(sorted_keys[1:] != sorted_keys[:-1])])
-            ranks.append((depth, rank))
-            if rank[order[-1]] == n - 1:
-                break
-            after = np.zeros(n, np.int64)
-            after[: n - depth] = rank[depth:] + 1
-            packed = rank * (n + 1) + after
             order = np.argsort(packed, kind="stable")
+            sorted_ = packed[order]
+            change = sorted_[1:] != sorted_[:-1]
+            if new is not None:  # of equal beginnings before different separators, the earlier separator is the less
+                change |= new[order][1:]
+                new = None
+            rank = np.empty(n, np.int32)
+            rank[order] = np.concatenate([np.zeros(1, np.int32), np.cumsum(change, dtype=np.int32)])
+            if change.all():
+                break
+            ranks.append((depth, rank))
+            packed = rank.astype(np.int64) * (n + 1)
+            packed[: n - depth] += rank[depth:]
+            packed[: n - depth] += 1
             depth *= 2
+        del packed, sorted_
         bwt = x[order - 1]  # x[-1] is 0: nothing precedes the first suffix
-        heads = np.flatnonzero(bwt[1:] != bwt[:-1]) + 1
+        heads = np.flatnonzero((bwt[1:] != bwt[:-1]) | (bwt[1:] == 0)) + 1  # separators differ
         self.n, self.runs = n, len(heads) + 1
         at, source = order[heads], order[heads - 1]
         by_place = np.argsort(at)
         self.at, self.source = at[by_place], source[by_place]
-        # longest common prefix, from the longest compared depth down
+        # the length on which both agree, from the longest compared depth down
         length = np.zeros(len(heads), np.int64)
-        for depth, rank in reversed(ranks[:-1]):
+        for depth, rank in reversed(ranks):
             a, b = self.at + length, self.source + length
             ok = np.flatnonzero((a < n) & (b < n))
             ok = ok[rank[a[ok]] == rank[b[ok]]]
             length[ok] += depth
-        for _ in range(7):
+        for _ in range(6):
             a, b = self.at + length, self.source + length
             ok = np.flatnonzero((a < n) & (b < n))
-            length[ok[x[a[ok]] == x[b[ok]]]] += 1
+            length[ok[(x[a[ok]] == x[b[ok]]) & (x[a[ok]] != 0)]] += 1
         self.length = length
 
     def statistics(self) -> tuple[np.ndarray, np.ndarray]:
