@@ -127,6 +127,7 @@ def choices(names: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int
         s = name_pairs(name_runs(s), level)
         levels.append(s)
     windows = ranges(starts, np.maximum(sizes - width + 1, 0))
+    sums, powers = _hashes(names)
     bits = np.uint64(n.bit_length())
     mask = (np.uint64(1) << bits) - np.uint64(1)
     most = np.uint64((1 << 64) - 1)
@@ -140,7 +141,9 @@ def choices(names: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int
         ok = ~s.barrier & (s.hi - s.lo <= reach) & (s.lo >= 0) & (s.hi <= n)
         lo, hi = s.lo[ok], s.hi[ok]
         inside = crossing[hi] == crossing[lo]
-        lo, full = lo[inside], mix(s.name[ok][inside] + np.uint64(level) * ODD)
+        lo, hi = lo[inside], hi[inside]
+        # the name takes in all words of the reach: a symbol alone may stand for two words
+        full = mix(s.name[ok][inside] + np.uint64(level) * ODD + (sums[hi] - sums[lo]) * powers.down[lo])
         at = np.full(n + width, most)
         np.minimum.at(at, lo, (full & ~mask) | lo.astype(np.uint64))
         least = sliding_min(at, width - reach + 1)[windows[open_]]
