@@ -34,6 +34,13 @@ def spark_type(schema: dict, as_text: bool = False) -> T.DataType:
     raise ValueError(f"unsupported JSON schema type {kind!r}")
 
 
+def loose(kind: T.DataType) -> T.DataType:
+    """The type with NULLs allowed everywhere, as casts need it."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, loose(f.dataType), True) for f in kind])
+    return T.ArrayType(loose(kind.elementType), True) if isinstance(kind, T.ArrayType) else kind
+
+
 def parse_as(text: Column, kind: T.DataType) -> Column:
     """text as kind, NULL where it does not parse; structs and arrays from JSON."""
     if isinstance(kind, (T.StructType, T.ArrayType)):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.schema import properties, spark_type
+from ..functions.schema import loose, properties, spark_type
 
 _OPERATORS = {"==": "eqNullSafe", "!=": "__ne__", ">": "__gt__", ">=": "__ge__", "<": "__lt__", "<=": "__le__"}
 
@@ -100,7 +100,7 @@ def apply_rule(df: DataFrame, field: str, node: dict, rule: dict) -> DataFrame:
             if not isinstance(part, dict) or "from" not in part:
                 holds = holds & source(part).isNotNull()
     kind = rule["type"]
-    target = df.schema[field].dataType if field in df.columns else spark_type(node, True)
+    target = loose(df.schema[field].dataType if field in df.columns else spark_type(node, True))
     now = F.col(field) if field in df.columns else F.lit(None).cast(target)
     if kind in ("replace", "replace_if_not_exist"):
         if as_list:

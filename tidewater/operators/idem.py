@@ -58,7 +58,12 @@ def resolve_nested(items: Column, inner: str, fields: list[str], names: list[str
     empty = F.slice(F.try_element_at(items, F.lit(1))[inner], 1, 0)
     flat = F.flatten(F.transform(items, lambda o: F.coalesce(o[inner], empty)))
     seed = F.lag(F.try_element_at(flat, F.lit(-1)), 1).over(window)
-    solid = {f: F.lag(F.try_element_at(F.filter(F.transform(flat, lambda x, f=f: x[f]), lambda v: v.isNotNull() & ~is_idem(v)), F.lit(-1)), 1).over(window) for f in fields}
+
+    def solid_one(f: str) -> Column:
+        said = F.filter(F.transform(flat, lambda x: x[f]), lambda v: v.isNotNull() & ~is_idem(v))
+        return F.lag(F.try_element_at(said, F.lit(-1)), 1).over(window)
+
+    solid = {f: solid_one(f) for f in fields}
 
     def step(done: Column, outer: Column) -> Column:
         said = F.flatten(F.transform(done, lambda o: F.coalesce(o[inner], empty)))
