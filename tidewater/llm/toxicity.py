@@ -214,7 +214,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("l_id")))
     known = known.groupBy("l_id").agg(F.max("toxic").alias("toxic"))
     texts = text_of(docs).filter(~held_out(F.col("doc_id")))
-    rows = texts.join(known, texts.doc_id == known.l_id).select("doc_id", "text", "toxic")
+    # the same join at every size
+    rows = texts.join(known.hint("merge"), texts.doc_id == known.l_id).select("doc_id", "text", "toxic")
     for_curve = fold(F.col("doc_id")) % 6 == 5
     found = counted(rows.filter(~for_curve)).toPandas().sort_values("key")
     keys, counts = found["key"].to_numpy(np.int64), found[["ordinary", "toxic"]].to_numpy(np.int64)
