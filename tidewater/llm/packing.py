@@ -33,7 +33,7 @@ VOCABULARY, END_ID, CAPACITY = "byte_bpe_50k.json", 0, 1024
 #: Tokens of padding that a cut at a sentence end, or inside a sentence, is worth avoiding for.
 SENTENCE, INSIDE = 2, 12
 #: Tokens between the cuts that are possible inside a sentence.
-GRID = 32
+GRID = 64
 BLOCK = 20_000
 MARK = 0xFFFF
 SLICE = 256

@@ -78,17 +78,43 @@ def library_encoder(vocabulary: str, mark: int | None = None) -> Chunks:
     # chunks are encoded together, a special token between them: the library splits there before all else
     between, sep = next((x.content, i) for i, x in tokenizer.get_added_tokens_decoder().items() if x.special)
     tail = b"" if mark is None else struct.pack("<H", mark)
+    # words of letters alone need none: their first or last token shows
+    vocabulary_ = tokenizer.get_vocab()
+    suffix = tokenizer.model.end_of_word_suffix
+    edge = np.zeros(max(vocabulary_.values()) + 1, bool)
+    edge[[i for t, i in vocabulary_.items() if (t.endswith(suffix) if suffix else t[0] == "\u0120")]] = True
 
-    def many(chunks: list[str]) -> list[bytes]:
+    def encode(texts: list[str]) -> Iterator[np.ndarray]:
+        return (np.array(e.ids, "<u2") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+    def words(chunks: list[str]) -> list[bytes]:
+        """Chunks of a space and letters."""
         groups, found = [chunks[i : i + TOGETHER] for i in range(0, len(chunks), TOGETHER)], []
-        for group, said in zip(groups, tokenizer.encode_batch_fast([between.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(said.ids, "<u2")
+        for group, ids in zip(groups, encode(["".join(g) for g in groups])):
+            at = np.flatnonzero(edge[ids])
+            cuts = [0, *(at + 1).tolist()] if suffix else [*at.tolist(), len(ids)]
+            if len(cuts) == len(group) + 1 and cuts[0] == 0 and cuts[-1] == len(ids):
+                raw = ids.tobytes()
+                found.extend([raw[2 * a : 2 * b] for a, b in zip(cuts, cuts[1:])])
+            else:
+                found.extend(ids.tobytes() for ids in encode(group))
+        return found
+
+    def others(chunks: list[str]) -> list[bytes]:
+        groups, found = [chunks[i : i + TOGETHER] for i in range(0, len(chunks), TOGETHER)], []
+        for group, ids in zip(groups, encode([between.join(g) for g in groups])):
             cuts = [-1, *np.flatnonzero(ids == sep).tolist(), len(ids)]
             if len(cuts) == len(group) + 1:
                 raw = ids.tobytes()
-                found.extend(raw[2 * a + 2 : 2 * b] for a, b in zip(cuts, cuts[1:]))
+                found.extend([raw[2 * a + 2 : 2 * b] for a, b in zip(cuts, cuts[1:])])
             else:  # a chunk holds the special token itself
-                found.extend(np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch_fast(group, add_special_tokens=False))
+                found.extend(ids.tobytes() for ids in encode(group))
+        return found
+
+    def many(chunks: list[str]) -> list[bytes]:
+        plain = [c[0] == " " and c[1:].isalpha() for c in chunks]
+        of_words, of_others = iter(words([c for c, w in zip(chunks, plain) if w])), iter(others([c for c, w in zip(chunks, plain) if not w]))
+        found = [next(of_words if w else of_others) for w in plain]
         return found if mark is None else [x + tail if c[-1] in ".!?\n" else x for x, c in zip(found, chunks)]
 
     if tokenizer.get_vocab_size() > 65_535:

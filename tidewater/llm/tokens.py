@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 
-#: Chunks that a worker keeps; beyond it the table is emptied and filled anew.
+#: Chunks that a worker keeps: half of them in use, and the half that it used before.
 KEPT = 1_200_000
 
 
@@ -29,29 +29,66 @@ def place(name: str) -> str:
 
 
 class Chunks:
-    """Calling it gives the joined bytes of a text's chunks, which `many` makes from lists of chunks."""
+    """Calling it gives the joined bytes of a text's chunks, which `many` makes from lists of chunks.
+
+    A chunk that is not known yet is taken apart further where every tokenizer used here splits: at a single line end
+    between two characters that are no spaces, and before one closing mark that follows a letter and ends the part.
+    """
 
     def __init__(self, many: Callable[[list[str]], list[bytes]], limit: int = KEPT):
         self.many, self.limit = many, limit
         self.spaced: dict[str, bytes] = {}  # by chunk without its leading space
         self.bare: dict[str, bytes] = {}
+        self.before: tuple[dict, dict] = {}, {}  # what the tables held before they were last renewed
         self.after_space = re.compile(r"\s ")
         self.boundary = re.compile(r"(?<=\S)(?= )")
 
+    @staticmethod
+    def _parts(chunk: str) -> list[str]:
+        """The chunk in parts: the first one as the chunk began, the others on their own."""
+        lines = chunk.split("\n") if "\n" in chunk else [chunk]
+        if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+            return [chunk]
+        parts: list[str] = []
+        for line in lines:
+            if parts:
+                parts.append("\n")
+            if len(line) > 1 and line[-1] in ".,;:!?" and line[-2].isalpha():
+                parts += (line[:-1], line[-1])
+            else:
+                parts.append(line)
+        return parts
+
+    def _learn(self, table: dict[str, bytes], chunks: list[str], lead: str) -> None:
+        old = self.before[not lead]
+        if old and chunks:
+            table.update((k, old[k]) for k in chunks if k in old)
+            chunks = [k for k in chunks if k not in old]
+        if chunks:
+            table.update(zip(chunks, self.many([lead + k for k in chunks] if lead else chunks)))
+
     def _look(self, table: dict[str, bytes], keys: list[str], lead: str) -> list[bytes]:
         found = list(map(table.get, keys))
         if None in found:
-            new = list({k for k, v in zip(keys, found) if v is None})
-            table.update(zip(new, self.many([lead + k for k in new])))
-            found = list(map(table.__getitem__, keys))
+            holes = [i for i, v in enumerate(found) if v is None]
+            split = [self._parts(keys[i]) for i in holes]
+            bare = self.bare
+            self._learn(table, list({p[0] for p in split if p[0] not in table}), lead)
+            self._learn(bare, list({x for p in split for x in p[1:] if x not in bare}), "")
+            for i, p in zip(holes, split):
+                if len(p) == 1:
+                    found[i] = table[p[0]]
+                else:
+                    found[i] = table[p[0]] + b"".join([bare[x] for x in p[1:]])
+                    if len(p) == 2:  # longer ones hardly come again
+                        table[keys[i]] = found[i]
         return found
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        if len(self.spaced) + len(self.bare) > self.limit:
-            self.spaced.clear()
-            self.bare.clear()
+        if len(self.spaced) + len(self.bare) > self.limit // 2:
+            self.before, self.spaced, self.bare = (self.spaced, self.bare), {}, {}
         if self.after_space.search(text):
             return b"".join(self._look(self.bare, self.boundary.split(text), ""))
         first, *rest = text.split(" ")
