@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import phonetic
 from .phonetic import double_metaphone as _codes
 from .phonetic import jaro_winkler as _jaro_winkler
 
+# workers get these functions by value and need no copy of the package
+cloudpickle.register_pickle_by_value(phonetic)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def levenshtein_ratio(a: Column, b: Column) -> Column:
     """1 - distance / the longer length; NULL if either is."""
@@ -30,7 +37,7 @@ def soundex_ratio(a: Column, b: Column) -> Column:
     return levenshtein_ratio(F.soundex(a), F.soundex(b))
 
 
-@F.pandas_udf("primary string, secondary string")
+@F.pandas_udf(T.StructType([T.StructField("primary", T.StringType()), T.StructField("secondary", T.StringType())]))
 def double_metaphone(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_codes(t) if t is not None else (None, None) for t in text], columns=["primary", "secondary"])
 

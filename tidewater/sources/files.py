@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import json
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_any(spark: SparkSession, path: str, row_tag: str = "row") -> DataFrame:
     """Records of a file or folder by its extension; CSV headers become lower case."""
