@@ -45,7 +45,7 @@ def anchors_of(keys: list[int], texts: list[str], width: int = WIDTH) -> pa.Reco
     starts = np.cumsum(sizes) - sizes
     x = np.frombuffer(b"".join(r for _, r in docs) + bytes(GRAM + width), np.uint8).astype(np.uint64)
     n = len(x)
-    powers = kept("powers", Powers).reach(n)
+    powers = kept("suffix powers", Powers).reach(n)
     for k in (1, 2, 4):  # eight bytes in one word
         x = x[:-k] | x[k:] << np.uint64(8 * k)
     word = mix(x)

@@ -19,8 +19,16 @@ KEPT = 1_200_000
 
 
 def kept(name: str, make: Callable):
-    """A worker process makes each named thing once, whatever the number of its tasks."""
-    return sys.__dict__.setdefault("_tidewater_kept", {}).get(name) or sys.__dict__["_tidewater_kept"].setdefault(name, make())
+    """A worker process makes each named thing once, whatever the number of its tasks. The name's first word tells the
+    operator; what another operator left in the worker is dropped, so that stages do not add up."""
+    store = sys.__dict__.setdefault("_tidewater_kept", {})
+    owner = name.split(" ")[0]
+    if store.get("owner") != owner:
+        store.clear()
+        store["owner"] = owner
+    if name not in store:
+        store[name] = make()
+    return store[name]
 
 
 def place(name: str) -> str:
@@ -40,7 +48,8 @@ class Chunks:
         self.spaced: dict[str, bytes] = {}  # by chunk without its leading space
         self.bare: dict[str, bytes] = {}
         self.before: tuple[dict, dict] = {}, {}  # what the tables held before they were last renewed
-        self.after_space = re.compile(r"\s ")
+        spaces = [c for c in map(chr, range(0x3001)) if c.isspace()]
+        self.after_space = [c + " " for c in spaces]
         self.boundary = re.compile(r"(?<=\S)(?= )")
 
     @staticmethod
@@ -69,7 +78,7 @@ class Chunks:
 
     def _look(self, table: dict[str, bytes], keys: list[str], lead: str) -> list[bytes]:
         found = list(map(table.get, keys))
-        if None in found:
+        if not all(found):  # unknown, or without tokens
             holes = [i for i, v in enumerate(found) if v is None]
             split = [self._parts(keys[i]) for i in holes]
             bare = self.bare
@@ -89,7 +98,7 @@ class Chunks:
             return b""
         if len(self.spaced) + len(self.bare) > self.limit // 2:
             self.before, self.spaced, self.bare = (self.spaced, self.bare), {}, {}
-        if self.after_space.search(text):
+        if any(pair in text for pair in self.after_space):
             return b"".join(self._look(self.bare, self.boundary.split(text), ""))
         first, *rest = text.split(" ")
         start = self._look(self.bare, [first], "") if first else []
