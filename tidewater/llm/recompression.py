@@ -39,7 +39,7 @@ KEPT = 800_000
 
 def word_names(words: list[bytes]) -> np.ndarray:
     """A 64-bit name of each word."""
-    names = kept("word names", dict)
+    names = kept("recompression names", dict)
     if len(names) > KEPT:
         names.clear()
     found = list(map(names.get, words))
@@ -115,10 +115,11 @@ def name_pairs(s: Symbols, level: int) -> Symbols:
 def choices(names: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, ...]:
     """Windows of all documents (word places), the place of each window's chosen symbol, and that symbol's name.
 
-    names: the words of all documents, a gap of one word after each; starts, sizes: of the documents.
+    names: the words of all documents, a gap of one word before the first and after each; starts, sizes: of the documents.
     """
     n = len(names)
     barrier = np.zeros(n, bool)
+    barrier[0] = True
     barrier[starts + sizes] = True
     place = np.arange(n)
     s = Symbols(names, place, place + 1, place, place + 1, barrier)
@@ -143,7 +144,7 @@ def choices(names: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int
         inside = crossing[hi] == crossing[lo]
         lo, hi = lo[inside], hi[inside]
         # the name takes in all words of the reach: a symbol alone may stand for two words
-        full = mix(s.name[ok][inside] + np.uint64(level) * ODD + (sums[hi] - sums[lo]) * powers.down[lo])
+        full = mix(s.name[ok][inside] + np.array([level], np.uint64) * ODD + (sums[hi] - sums[lo]) * powers.down[lo])
         at = np.full(n + width, most)
         np.minimum.at(at, lo, (full & ~mask) | lo.astype(np.uint64))
         least = sliding_min(at, width - reach + 1)[windows[open_]]
@@ -157,18 +158,18 @@ def choices(names: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int
 
 
 def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names of all words with a gap after each document, and the documents' starts and sizes."""
+    """Names of all words with a gap before the first document and after each, and the documents' starts and sizes."""
     split = [t.encode().split() for t in texts]
     sizes = np.array([len(w) for w in split])
-    starts = np.cumsum(sizes + 1) - sizes - 1
-    names = np.zeros(int(sizes.sum() + len(sizes)), np.uint64)
+    starts = np.cumsum(sizes + 1) - sizes
+    names = np.zeros(int(sizes.sum() + len(sizes) + 1), np.uint64)
     if sizes.sum():
         names[ranges(starts, sizes)] = word_names([w for ws in split for w in ws])
     return names, starts, sizes
 
 
 def _hashes(names: np.ndarray) -> tuple[np.ndarray, Powers]:
-    powers = kept("powers", Powers).reach(len(names) + 1)
+    powers = kept("recompression powers", Powers).reach(len(names) + 1)
     return prefix_sums(mix(names), powers), powers
 
 
