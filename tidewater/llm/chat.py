@@ -20,6 +20,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import table
@@ -58,40 +59,42 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, history
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("block", F.floor(F.coalesce("turn", F.lit(0)) / block))
     rows = rows.withColumn("tokens", F.regexp_count("text", F.lit(TOKEN)) + TURN_COST)
-    grouped = rows.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "tokens"))).alias("turns"))
-    # array_sort puts a null turn number first inside structs
+    # prefix sums: before is the tokens of the turns before; back and from_ say which earlier turns fit the history limit
+    own = W.partitionBy("conv_id", "block")
+    order = own.orderBy(F.asc_nulls_first("turn"), "role", "text")
+    rows = rows.withColumn("before", F.coalesce(F.sum("tokens").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    fits = own.orderBy("before").rangeBetween(-history, -1)
+    rows = rows.withColumn("back", F.count("*").over(fits)).withColumn("from_", F.coalesce(F.min("before").over(fits), F.col("before")))
+    grouped = rows.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("before", "turn", "role", "text", "tokens", "back", "from_"))).alias("turns"))
     first = F.get("turns", F.lit(0))
     grouped = grouped.withColumn("system", F.when((F.col("block") == 0) & (first["role"] == "system"), first))
     systems = grouped.filter(F.col("system").isNotNull()).select(F.col("conv_id").alias("s_id"), F.col("system").alias("s_turn"))
     later = grouped.filter(F.col("block") != 0).drop("system").join(systems, F.col("conv_id").eqNullSafe(F.col("s_id")), "left").withColumnRenamed("s_turn", "system").drop("s_id")
     blocks = grouped.filter(F.col("block") == 0).unionByName(later)
-    blocks = blocks.withColumn("body", F.when(F.col("system").isNotNull() & (F.col("block") == 0), F.slice("turns", 2, F.greatest(F.size("turns") - 1, F.lit(0)))).otherwise(F.col("turns")))
-    blocks = blocks.withColumn("room", F.lit(budget) - F.coalesce(F.col("system")["tokens"], F.lit(0)))
-    # prefix sums: sums[i] is the tokens of the turns before i
-    blocks = blocks.withColumn("sums", F.aggregate("body", F.array(F.lit(0)), lambda s, t: F.array_append(s, F.element_at(s, -1) + t["tokens"])))
-    # a window is (h, i, j): history turns h..i-1, new turns i..j-1. The next one starts at j.
-    n = F.size("body")
-
-    def history_start(i: Column) -> Column:
-        """The first turn from which the turns before i fit the history limit."""
-        return F.coalesce(F.array_min(F.filter(F.sequence(F.lit(0), i), lambda h: F.get("sums", i) - F.get("sums", h) <= history)), i)
-
-    def extend(windows: Column, t: Column) -> Column:
-        """Turn t joins the last window if that stays in the budget, else it starts another."""
+    leads = F.col("system").isNotNull() & (F.col("block") == 0)
+    blocks = blocks.withColumn("body", F.when(leads, F.slice("turns", 2, F.greatest(F.size("turns") - 1, F.lit(0)))).otherwise(F.col("turns")))
+    base = F.when(leads, F.col("system")["tokens"]).otherwise(0).cast("long")
+    room = F.lit(budget) - F.coalesce(F.col("system")["tokens"], F.lit(0))
+    # a window is (h, i, j): history turns h..i-1, new turns i..j-1; at is the tokens before h. The next one starts at j.
+
+    def window(h: Column, i: Column, j: Column, at: Column) -> Column:
+        return F.struct(h.cast("long").alias("h"), i.cast("long").alias("i"), j.cast("long").alias("j"), at.cast("long").alias("at"))
+
+    def extend(windows: Column, x: Column) -> Column:
+        """Turn x joins the last window if that stays in the budget, else it starts another, with what history leaves it room."""
         last = F.element_at(windows, -1)
-        fits = F.get("sums", t + 1) - F.get("sums", last["h"]) <= F.col("room")
-        grown = F.concat(F.slice(windows, 1, F.size(windows) - 1), F.array(F.struct(last["h"].alias("h"), last["i"].alias("i"), (t + 1).alias("j"))))
-        # a turn that leaves history no room starts its window without it
-        h = history_start(t)
-        h = F.when(F.get("sums", t + 1) - F.get("sums", h) <= F.col("room"), h).otherwise(t)
-        return F.when(fits | (last["j"] == last["i"]), grown).otherwise(F.concat(windows, F.array(F.struct(h.alias("h"), t.alias("i"), (t + 1).alias("j")))))
-
-    start = F.array(F.struct(F.lit(0).alias("h"), F.lit(0).alias("i"), F.lit(0).alias("j")))
-    steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    blocks = blocks.withColumn("windows", F.aggregate(steps, start, extend))
+        t, end = last["j"], x["before"] + x["tokens"]
+        at = F.greatest(x["from_"], base)
+        remembers = end - at <= room
+        fresh = window(F.when(remembers, F.greatest(t - x["back"], F.lit(0))).otherwise(t), t, t + 1, F.when(remembers, at).otherwise(x["before"]))
+        grown = F.concat(F.slice(windows, 1, F.size(windows) - 1), F.array(window(last["h"], last["i"], t + 1, last["at"])))
+        return F.when((end - last["at"] <= room) | (last["j"] == last["i"]), grown).otherwise(F.array_append(windows, fresh))
+
+    start = F.array(window(F.lit(0), F.lit(0), F.lit(0), base))
+    blocks = blocks.withColumn("windows", F.aggregate("body", start, extend))
     each = blocks.select("conv_id", "block", "system", "body", F.posexplode("windows").alias("window", "w"))
     head = F.when(F.col("system").isNotNull(), F.array("system")).otherwise(F.slice("body", 1, 0))
-    turns = F.concat(head, F.slice("body", F.col("w.h") + 1, F.col("w.j") - F.col("w.h")))
+    turns = F.concat(head, F.slice("body", (F.col("w.h") + 1).cast("int"), (F.col("w.j") - F.col("w.h")).cast("int")))
     has = F.col("system").isNotNull()
     return each.select("conv_id", "block", "window", _render(turns).alias("formatted"), (has.cast("int") + F.col("w.i") - F.col("w.h")).alias("lead"), F.size(turns).alias("n_turns"), has.alias("system"))
 
