@@ -36,7 +36,6 @@ SENTENCE, INSIDE = 2, 12
 GRID = 64
 BLOCK = 20_000
 MARK = 0xFFFF
-SLICE = 256
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
@@ -128,13 +127,11 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID, ca
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], NAMES)
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    marked = np.frombuffer(encode(text), "<u2")
-                    ends = np.flatnonzero(marked == MARK)
-                    ids = np.append(marked[marked != MARK], np.uint16(end_id))
-                    rows.extend(packer.add(key, ids, ends - np.arange(len(ends))))
+            for key, found in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1))):
+                marked = np.frombuffer(found, "<u2")
+                ends = np.flatnonzero(marked == MARK)
+                ids = np.append(marked[marked != MARK], np.uint16(end_id))
+                rows.extend(packer.add(key, ids, ends - np.arange(len(ends))))
                 if len(rows) >= 4096:
                     yield out()
                     rows = []

@@ -137,25 +137,27 @@ def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: in
         encode = kept(f"records {vocabulary}", lambda: library_encoder(vocabulary))
         tail = struct.pack("<H", end_id)
         shard, store, at, docs_in, tokens_in = TaskContext.get().partitionId(), None, 0, 0, 0
+        out, places = [], []
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
-                if store is None:
-                    files, root = _filesystem(folder)
-                    files.create_dir(root, recursive=True)
-                    name = f"{root}/shard-{shard}-{uuid.uuid4().hex}"
-                    store, index = files.open_output_stream(f"{name}.rec"), files.open_output_stream(f"{name}.idx")
-                out, places = [], []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = encode(text) + tail
-                    record = frame(struct.pack("<q", NO_ID if key is None else key) + ids)
-                    places.append(at)
-                    out.append(record)
-                    at += len(record)
-                    tokens_in += len(ids) // 2
-                docs_in += len(out)
-                store.write(b"".join(out))
-                index.write(np.array(places, "<u8").tobytes())
+            if store is None and batch.num_rows:
+                files, root = _filesystem(folder)
+                files.create_dir(root, recursive=True)
+                name = f"{root}/shard-{shard}-{uuid.uuid4().hex}"
+                store, index = files.open_output_stream(f"{name}.rec"), files.open_output_stream(f"{name}.idx")
+            for key, ids in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1))):
+                record = frame(b"".join((struct.pack("<q", NO_ID if key is None else key), ids, tail)))
+                places.append(at)
+                out.append(record)
+                at += len(record)
+                docs_in += 1
+                tokens_in += (len(ids) + len(tail)) // 2
+                if len(out) == SLICE:
+                    store.write(b"".join(out))
+                    index.write(np.array(places, "<u8").tobytes())
+                    out, places = [], []
+        if out:
+            store.write(b"".join(out))
+            index.write(np.array(places, "<u8").tobytes())
         if store is not None:
             store.close()
             index.close()

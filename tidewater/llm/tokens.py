@@ -7,13 +7,23 @@ bounded size; the tokenizer itself works on the others, in batches.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import public_tokenizers
-
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: A space after another one, of any kind.
+AFTER_SPACE = "[\\x{9}-\\x{D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}] "
+#: Closing marks, of which one after a letter is a token of its own.
+MARKS = ".,;:!?"
+#: Bytes of text whose chunks are looked up together, at least one text.
+GROUP = 4 << 20
 #: Chunks that a worker keeps: half of them in use, and the half that it used before.
 KEPT = 1_200_000
 
@@ -39,7 +49,7 @@ def place(name: str) -> str:
 class Chunks:
     """Calling it gives the joined bytes of a text's chunks, which `many` makes from lists of chunks.
 
-    A chunk that is not known yet is taken apart further where every tokenizer used here splits: at a single line end
+    The values are made of 16-bit units. A chunk that is not known yet is taken apart further where every tokenizer used here splits: at a single line end
     between two characters that are no spaces, and before one closing mark that follows a letter and ends the part.
     """
 
@@ -62,7 +72,7 @@ class Chunks:
         for line in lines:
             if parts:
                 parts.append("\n")
-            if len(line) > 1 and line[-1] in ".,;:!?" and line[-2].isalpha():
+            if len(line) > 1 and line[-1] in MARKS and line[-2].isalpha():
                 parts += (line[:-1], line[-1])
             else:
                 parts.append(line)
@@ -78,19 +88,31 @@ class Chunks:
 
     def _look(self, table: dict[str, bytes], keys: list[str], lead: str) -> list[bytes]:
         found = list(map(table.get, keys))
-        if not all(found):  # unknown, or without tokens
-            holes = [i for i, v in enumerate(found) if v is None]
-            split = [self._parts(keys[i]) for i in holes]
-            bare = self.bare
-            self._learn(table, list({p[0] for p in split if p[0] not in table}), lead)
-            self._learn(bare, list({x for p in split for x in p[1:] if x not in bare}), "")
-            for i, p in zip(holes, split):
-                if len(p) == 1:
-                    found[i] = table[p[0]]
+        if None not in found:
+            return found
+        bare, new, words, marked, others = self.bare, set(), [], [], []
+        for i, v in enumerate(found):
+            if v is None:
+                key = keys[i]
+                if key.isalpha():
+                    words.append(i)
+                    new.add(key)
+                elif key[-1:] and key[-1] in MARKS and (stem := key[:-1]).isalpha():
+                    marked.append((i, stem, key[-1]))
                 else:
-                    found[i] = table[p[0]] + b"".join([bare[x] for x in p[1:]])
-                    if len(p) == 2:  # longer ones hardly come again
-                        table[keys[i]] = found[i]
+                    others.append((i, self._parts(key)))
+        new.update(x for _, x, _ in marked if x not in table)
+        new.update(p[0] for _, p in others if p[0] not in table)
+        self._learn(table, list(new), lead)
+        new = {m for _, _, m in marked}
+        new.update(x for _, p in others for x in p[1:])
+        self._learn(bare, [x for x in new if x not in bare], "")
+        for i in words:
+            found[i] = table[keys[i]]
+        for i, stem, mark in marked:
+            found[i] = table[keys[i]] = table[stem] + bare[mark]
+        for i, p in others:  # longer ones hardly come again
+            found[i] = table[p[0]] if len(p) == 1 else table[p[0]] + b"".join([bare[x] for x in p[1:]])
         return found
 
     def __call__(self, text: str) -> bytes:
@@ -103,3 +125,57 @@ class Chunks:
         first, *rest = text.split(" ")
         start = self._look(self.bare, [first], "") if first else []
         return b"".join(start + self._look(self.spaced, rest, " "))
+
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """What calling it gives for each of the texts; a chunk that recurs in a group of them is looked up once."""
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < len(texts):
+            base = sizes[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(sizes, base + GROUP, "right")))
+            collects = gc.isenabled()
+            gc.disable()  # a group makes millions of small objects and no cycles
+            try:
+                found = self._group(texts.slice(lo, hi - lo).cast(pa.large_string()))
+            finally:
+                if collects:
+                    gc.enable()
+            yield from found
+            lo = hi
+
+    def _group(self, texts: pa.Array) -> list[bytes]:
+        odd = pc.match_substring_regex(texts, AFTER_SPACE)
+        found: list = [None] * len(texts)
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            found[i] = self(texts[i].as_py())
+        rows = np.flatnonzero(~odd.to_numpy(zero_copy_only=False))
+        if not len(rows):
+            return found
+        if len(self.spaced) + len(self.bare) > self.limit // 2:
+            self.before, self.spaced, self.bare = (self.spaced, self.bare), {}, {}
+        lists = pc.split_pattern(texts.take(pa.array(rows)) if len(rows) < len(texts) else texts, " ")
+        flat, ends = lists.flatten(), lists.offsets.to_numpy()
+        ends = ends - ends[0]
+        first = ends[:-1]
+        coded = flat.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        inner = np.ones(len(codes), bool)
+        inner[first] = False
+        used = np.flatnonzero(np.bincount(codes[inner], minlength=len(coded.dictionary)))
+        values = self._look(self.spaced, coded.dictionary.take(pa.array(used)).to_pylist(), " ")
+        starts = flat.take(pa.array(first)).to_pylist()
+        known = iter(self._look(self.bare, [x for x in starts if x], ""))
+        number = np.zeros(len(coded.dictionary), np.int64)
+        number[used] = np.arange(len(used))
+        codes = number[codes]
+        codes[first] = len(used) + np.arange(len(first))
+        values += [next(known) if x else b"" for x in starts]
+        pool = np.frombuffer(b"".join(values), "<u2")
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 2
+        at, n = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+        stops = np.concatenate([[0], np.cumsum(n)])
+        ids = pool[np.repeat(at - stops[:-1], n) + np.arange(stops[-1])].tobytes()
+        bounds = (2 * stops[ends]).tolist()
+        for i, a, b in zip(rows.tolist(), bounds, bounds[1:]):
+            found[i] = ids[a:b]
+        return found
