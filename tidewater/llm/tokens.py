@@ -110,8 +110,8 @@ class Chunks:
         for i in words:
             found[i] = table[keys[i]]
         for i, stem, mark in marked:
-            found[i] = table[keys[i]] = table[stem] + bare[mark]
-        for i, p in others:  # longer ones hardly come again
+            found[i] = table[stem] + bare[mark]
+        for i, p in others:
             found[i] = table[p[0]] if len(p) == 1 else table[p[0]] + b"".join([bare[x] for x in p[1:]])
         return found
 
@@ -172,9 +172,11 @@ class Chunks:
         values += [next(known) if x else b"" for x in starts]
         pool = np.frombuffer(b"".join(values), "<u2")
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // 2
-        at, n = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+        n = sizes[codes]
         stops = np.concatenate([[0], np.cumsum(n)])
-        ids = pool[np.repeat(at - stops[:-1], n) + np.arange(stops[-1])].tobytes()
+        index = np.repeat(((np.cumsum(sizes) - sizes)[codes] - stops[:-1]).astype(np.int32), n)
+        index += np.arange(len(index), dtype=np.int32)  # a group has fewer than 2^31 units, as has a text
+        ids = pool[index].tobytes()
         bounds = (2 * stops[ends]).tolist()
         for i, a, b in zip(rows.tolist(), bounds, bounds[1:]):
             found[i] = ids[a:b]
