@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship, table, text_of
+from .tokens import own
 
 MIN_WORDS, MAX_REPEAT, REPEAT_WINDOW = 10, 20, 5
 #: The share of words in content lines from which a document is kept.
@@ -222,6 +223,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     texts = text_of(docs).join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "quality")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("quality")
         for batch in batches:
             found = [lines_of(t.encode())[0] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64())), batch.column(2)], ["doc_id", "lines", "quality"])
@@ -253,6 +255,7 @@ def judge(docs: DataFrame, field: Field, share: float = SHARE) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("quality")
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
@@ -269,6 +272,7 @@ def reject(docs: DataFrame, field: Field, share: float = SHARE) -> DataFrame:
     shared, at = docs.sparkSession.sparkContext.broadcast(field), docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("quality")
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)

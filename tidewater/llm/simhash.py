@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, ship, table, text_of
 from .graph import components
+from .tokens import own
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Sizes of the blocks, of which RADIUS may differ.
@@ -55,6 +56,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ship()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("simhash")
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
@@ -148,6 +150,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     keyed = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("choice", "key"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("simhash")
         held: list[list[np.ndarray]] = []
 
         def out(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,7 @@ bounded size; the tokenizer itself works on the others, in batches.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import re
@@ -28,14 +29,25 @@ GROUP = 4 << 20
 KEPT = 1_200_000
 
 
-def kept(name: str, make: Callable):
-    """A worker process makes each named thing once, whatever the number of its tasks. The name's first word tells the
-    operator; what another operator left in the worker is dropped, so that stages do not add up."""
+def own(owner: str) -> dict:
+    """What a worker process keeps for an operator; what another one left in it is dropped, so that stages do not add up."""
     store = sys.__dict__.setdefault("_tidewater_kept", {})
-    owner = name.split(" ")[0]
     if store.get("owner") != owner:
+        held = len(store) > 1
         store.clear()
         store["owner"] = owner
+        if held:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim:
+                trim(0)
+    return store
+
+
+def kept(name: str, make: Callable):
+    """A worker process makes each named thing once, whatever the number of its tasks. The name's first word tells the operator."""
+    store = own(name.split(" ")[0])
     if name not in store:
         store[name] = make()
     return store[name]

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship, table, text_of
+from .tokens import own
 
 ORDER, BITS = 5, 5
 #: Symbols in the windows over which evidence is averaged.
@@ -69,6 +70,7 @@ def counted(texts: DataFrame) -> DataFrame:
     ship()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("toxicity")
         held: list[list[np.ndarray]] = [[], []]
         size = 0
 
@@ -226,6 +228,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("toxicity")
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
@@ -249,6 +252,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("toxicity")
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
@@ -264,6 +268,7 @@ def reject(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
     at = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own("toxicity")
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
