@@ -196,6 +196,23 @@ def test_suffix(spark, docs, plain):
     assert suffix.cut_table(again).count() == 5
 
 
+def test_suffix_bounds_its_indexes(spark, monkeypatch):
+    r = random.Random(8)
+    line = "Licensed under the terms that the file of that name gives; all of it comes as it is, without a warranty of any kind. "
+    said = {i: "".join(r.choice("abcdefgh ") for _ in range(150)) + line + "".join(r.choice("abcdefgh ") for _ in range(r.randint(0, 150))) for i in range(300)}
+    said |= {300 + i: said[i][40:] for i in range(0, 300, 3)}
+
+    class Bounded(suffix.RunIndex):
+        def __init__(self, text):
+            assert len(text) <= 8192 * 1.01 + 1, "an index over its bound"
+            super().__init__(text)
+
+    monkeypatch.setattr(suffix, "INDEX", 8192)
+    monkeypatch.setattr(suffix, "RunIndex", Bounded)
+    df = spark.createDataFrame(list(said.items()), "doc_id long, text string")
+    assert rows(suffix.cut(df), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_suffix(said)
+
+
 def test_run_index():
     r = np.random.default_rng(2)
     text = np.concatenate([r.integers(1, 4, 400), [0], r.integers(1, 4, 300), [0]])

@@ -8,6 +8,9 @@
    agree. Streaming over the samples in text order gives matching statistics: at each place the longest match with the
    suffix that precedes it in order, and where that stands. A string with a match of 100 bytes or more and an earlier
    occurrence along these matches is marked.
+3. Groups of more than INDEX bytes of contexts (a licence line in many documents) have no index: each of their strings
+   becomes a row that its 100 bytes name, by two hashes. Of equal rows a task hands on the first alone, so no index and no
+   task grows with the number of copies.
 
 Strings are judged on the input, overlaps count, matches never cross documents. Removed bytes may split a character;
 kept bytes that do not form UTF-8 are dropped from kept_text, never from the digest.
@@ -27,15 +30,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, ship, table
+from .common import materialise, release, ship, table
 from .repeats import ANCHORS, ODD, SPAN, Powers, anchor_rows, asked, covered, grouped, has_keys, keyed, mix, prefix_sums, ranges, resolve, sliding_min, spans_of, with_spans
 from .tokens import kept
 
 WIDTH, GRAM = 100, 32
-#: Bytes of contexts in one run-length index, beyond which the next group of contexts starts another.
+#: Bytes of contexts in one run-length index, at most; a larger group is settled string by string.
 INDEX = 1 << 19
 
 
+def hashed(raw: bytes) -> tuple[Powers, np.ndarray, np.ndarray]:
+    """Powers, prefix sums over the hashes of eight bytes, and a hash of the GRAM bytes from each place on."""
+    x = np.frombuffer(raw, np.uint8).astype(np.uint64)
+    powers = kept("suffix powers", Powers).reach(len(x))
+    for k in (1, 2, 4):  # eight bytes in one word
+        x = x[:-k] | x[k:] << np.uint64(8 * k)
+    word = mix(x)
+    h = mix(word[:-8] * ODD + word[8:])
+    return powers, prefix_sums(word, powers), mix(h[:-16] * ODD + h[16:])
+
+
 def anchors_of(keys: list[int], texts: list[str], width: int = WIDTH) -> pa.RecordBatch | None:
     """The anchors of some documents."""
     docs = [(k, r) for k, r in zip(keys, (t.encode() for t in texts)) if len(r) >= width]
@@ -43,15 +57,9 @@ def anchors_of(keys: list[int], texts: list[str], width: int = WIDTH) -> pa.Reco
         return None
     sizes = np.array([len(r) for _, r in docs])
     starts = np.cumsum(sizes) - sizes
-    x = np.frombuffer(b"".join(r for _, r in docs) + bytes(GRAM + width), np.uint8).astype(np.uint64)
-    n = len(x)
-    powers = kept("suffix powers", Powers).reach(n)
-    for k in (1, 2, 4):  # eight bytes in one word
-        x = x[:-k] | x[k:] << np.uint64(8 * k)
-    word = mix(x)
-    sums = prefix_sums(word, powers)
-    h = mix(word[:-8] * ODD + word[8:])
-    h = mix(h[:-16] * ODD + h[16:])
+    raw = b"".join(r for _, r in docs) + bytes(GRAM + width)
+    n = len(raw)
+    powers, sums, h = hashed(raw)
     bits = np.uint64(n.bit_length())
     mask = (np.uint64(1) << bits) - np.uint64(1)
     least = sliding_min((h & ~mask) | np.arange(len(h), dtype=np.uint64), width - GRAM + 1)
@@ -107,6 +115,47 @@ def contexts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(work, "grp long, key long, start long, said binary")
 
 
+def split(contexts_: DataFrame, index: int) -> tuple[DataFrame, DataFrame]:
+    """The contexts of groups of at most `index` bytes, and those of larger groups; contexts_ is a stored table."""
+    sizes = contexts_.groupBy("grp").agg(F.sum(F.length("said")).alias("n"))
+    # a row for each `index` bytes of contexts at most
+    large = F.broadcast(materialise(sizes.filter(F.col("n") > index).select("grp")))
+    return contexts_.join(large, "grp", "left_anti"), contexts_.join(large, "grp", "left_semi")
+
+
+def strings(contexts_: DataFrame) -> DataFrame:
+    """Rows for resolve(): the strings of the contexts, each named by two hashes of its bytes."""
+
+    def rows(keys: list[int], starts: list[int], said: list[bytes]) -> pa.RecordBatch:
+        sizes = np.array([len(r) for r in said])
+        base = np.cumsum(sizes) - sizes
+        powers, sums, h = hashed(b"".join(said) + bytes(GRAM + WIDTH))
+        p = ranges(base, sizes - WIDTH + 1)
+        name = h[p]
+        for k in (GRAM, 2 * GRAM, WIDTH - GRAM):
+            name = mix(name * ODD + h[p + k])
+        ctx = mix((sums[p + WIDTH - 7] - sums[p]) * powers.down[p])
+        owner = np.searchsorted(base, p, "right") - 1
+        start = np.array(starts, np.int64)[owner] + p - base[owner]
+        return anchor_rows(name, ctx, np.array(keys, np.int64)[owner], start, start, start, WIDTH, True)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = [[], [], []]
+        size = 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                for column, value in zip(held, row):
+                    column.append(value)
+                size += len(row[2])
+                if size >= INDEX:
+                    yield rows(*held)
+                    held, size = [[], [], []], 0
+        if size:
+            yield rows(*held)
+
+    return contexts_.select("key", "start", "said").mapInArrow(work, ANCHORS)
+
+
 class RunIndex:
     """The run-length index of a text: for each run of its Burrows-Wheeler transform, the suffixes on both sides of the
     run's head and the length on which they agree."""
@@ -186,7 +235,7 @@ def marked(text: np.ndarray, places: np.ndarray, width: int = WIDTH) -> np.ndarr
 
 
 def search(contexts_: DataFrame) -> DataFrame:
-    """Spans of the marked strings."""
+    """Spans of the marked strings; no group has more than INDEX bytes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[list[tuple]] = []  # contexts of complete groups
@@ -214,14 +263,18 @@ def search(contexts_: DataFrame) -> DataFrame:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if group and group[0][0] != row[0]:
                     if len(group) > 1:
-                        ready.append(group)
-                        size += sum(len(r[3]) for r in group)
-                        if size >= INDEX:
+                        more = sum(len(r[3]) for r in group)
+                        if ready and size + more > INDEX:
                             yield from out()
                             ready, size = [], 0
+                        ready.append(group)
+                        size += more
                     group = []
                 group.append(row)
         if len(group) > 1:
+            if ready and size + sum(len(r[3]) for r in group) > INDEX:
+                yield from out()
+                ready = []
             ready.append(group)
         if ready:
             yield from out()
@@ -233,7 +286,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """key, a and b: ranges of bytes to remove; docs as keyed() gives them."""
     ship()
     resolved = materialise(resolve(find_anchors(docs), WIDTH, True))
-    found = materialise(search(contexts(asked(docs, resolved))))
+    asked_for = materialise(contexts(asked(docs, resolved)))
+    small, large = split(asked_for, INDEX)
+    found = materialise(search(small)).unionByName(materialise(resolve(strings(large), WIDTH, True, ask=False)))
+    release(asked_for)
     return resolved.unionByName(found)
 
 
