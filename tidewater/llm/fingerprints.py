@@ -23,7 +23,7 @@ from .common import SPACES, materialise, table, text_of
 NO_ID = -(1 << 63)
 
 #: Samples in a signature.
-SAMPLES = 16
+SAMPLES = 64
 
 
 def _uniform(h: Column, shift: int, bits: int) -> Column:
@@ -32,16 +32,15 @@ def _uniform(h: Column, shift: int, bits: int) -> Column:
     return (part.cast("double") + F.lit(0.5)) * F.lit(2.0**-bits)
 
 
-def _draws(term: Column, k: int) -> tuple[Column, Column, Column]:
+def _draws(term: Column, k: Column) -> tuple[Column, Column, Column]:
     """r, ln c and b of sample k."""
-    g, h = F.xxhash64(term, F.lit(2 * k)), F.xxhash64(term, F.lit(2 * k + 1))
+    g, h = F.xxhash64(term, F.lit(2) * k), F.xxhash64(term, F.lit(2) * k + F.lit(1))
     r = -F.log(_uniform(g, 0, 21) * _uniform(g, 21, 21))
     return r, F.log(-F.log(_uniform(h, 0, 32) * _uniform(h, 32, 32))), _uniform(g, 42, 22)
 
 
-def _sample(term: Column, log_weight: Column, k: int) -> Column:
+def _sample(term: Column, log_weight: Column, r: Column, log_c: Column, b: Column) -> Column:
     """ln a in the upper half and a hash of (term, t) in the lower half of a long: its minimum is the sample."""
-    r, log_c, b = _draws(term, k)
     t = F.floor(log_weight / r + b)
     log_a = log_c - r * (t.cast("double") - b) - r
     rank = F.floor((log_a + F.lit(80.0)) * F.lit(float(1 << 23)))
@@ -62,19 +61,25 @@ def signatures(rows: DataFrame, texts: list[str], samples: int = SAMPLES) -> Dat
     words = words.select("doc_id", "copy", F.xxhash64("word").alias("term"), *[((F.col("side") == i) & (F.col("word") != "")).cast("int").alias(f"n{i}") for i in range(len(texts))])
     counts = words.groupBy("doc_id", "copy", "term").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(texts))])
     logs = counts.select("doc_id", "copy", "term", *[F.when(F.col(f"n{i}") > 0, F.log(F.col(f"n{i}").cast("double"))).alias(f"w{i}") for i in range(len(texts))])
-    least = logs.groupBy("doc_id", "copy").agg(*[F.min(_sample(F.col("term"), F.col(f"w{i}"), k)).alias(f"m{i}_{k}") for k in range(samples) for i in range(len(texts))])
+    # a row for each term and sample: one expression for each sample would be more code than a JVM compiles in useful time
+    sides = [f"w{i}" for i in range(len(texts))]
+    dealt = logs.select("doc_id", "copy", "term", *sides, F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("k"))
+    r, log_c, b = _draws(F.col("term"), F.col("k"))
+    drawn = dealt.select("doc_id", "copy", "term", "k", *sides, r.alias("r"), log_c.alias("log_c"), b.alias("b"))
+    least = drawn.groupBy("doc_id", "copy", "k").agg(*[F.min(_sample(F.col("term"), F.col(w), F.col("r"), F.col("log_c"), F.col("b"))).alias(f"m{i}") for i, w in enumerate(sides)])
+    listed = least.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_list(F.struct("k", *[f"m{i}" for i in range(len(texts))]))).alias("found"))
 
     def digits(i: int) -> Column:
         low = F.lit((1 << 32) - 1).cast("long")
-        return F.concat(*[F.lower(F.lpad(F.hex(F.coalesce(F.col(f"m{i}_{k}"), F.lit(0).cast("long")).bitwiseAND(low)), 8, "0")) for k in range(samples)])
+        return F.array_join(F.transform("found", lambda s: F.lower(F.lpad(F.hex(F.coalesce(s[f"m{i}"], F.lit(0).cast("long")).bitwiseAND(low)), 8, "0"))), "")
 
-    return least.select("doc_id", "copy", *[digits(i).alias(f"fp_{t}") for i, t in enumerate(texts)])
+    return listed.select("doc_id", "copy", *[digits(i).alias(f"fp_{t}") for i, t in enumerate(texts)])
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     """The share of samples on which two signatures agree."""
-    same = sum(((F.substring(a, 8 * k + 1, 8) == F.substring(b, 8 * k + 1, 8)).cast("int") for k in range(samples)), F.lit(0))
-    return same.cast("double") / F.lit(float(samples))
+    same = F.filter(F.sequence(F.lit(0), F.lit(samples - 1)), lambda k: a.substr(F.lit(8) * k + F.lit(1), F.lit(8)) == b.substr(F.lit(8) * k + F.lit(1), F.lit(8)))
+    return F.size(same).cast("double") / F.lit(float(samples))
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
