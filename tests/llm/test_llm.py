@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -132,7 +133,7 @@ def test_fingerprints(spark, docs, plain):
 def test_fingerprints_of_single_documents(spark):
     r = random.Random(6)
     said, true = {}, {}
-    for i in range(40):
+    for i in range(400):
         words = [f"{r.choice(WORDS)}{r.randint(0, 400)}" for _ in range(240)]
         changed = list(words)
         for j in r.sample(range(240), 6 if i % 2 else 27):
@@ -146,7 +147,59 @@ def test_fingerprints_of_single_documents(spark):
     assert all(abs(e) <= 4 * (true[i] * (1 - true[i]) / 64) ** 0.5 for i, e in errors.items())
     assert np.mean(np.square(list(errors.values()))) <= 1.5 * np.mean([t * (1 - t) / 64 for t in true.values()])
     # of pairs at 0.95, 4 % are alike in 64 samples, 44 % in 16
-    assert sum(got[2 * i][0] == got[2 * i + 1][0] for i in range(1, 40, 2)) <= 3
+    alike = sum(got[2 * i][0] == got[2 * i + 1][0] for i in true)
+    expected = sum(t**64 for t in true.values())
+    assert abs(alike - expected) <= 4 * expected**0.5
+
+
+def brute_samples(words, samples):
+    """Consistent weighted samples of a bag of words, term by term."""
+    x = fingerprints._quantiles()
+    found = []
+    for k in range(samples):
+        least = None
+        for word, n in Counter(words).items():
+            term = xxhash.xxh64_intdigest(word, 42)
+            h = xxhash.xxh64_intdigest(k.to_bytes(4, "little"), xxhash.xxh64_intdigest(term.to_bytes(8, "little"), 42))
+            level = h >> 12 & 4095
+            s = math.sqrt(((h >> 24 & (1 << 18) - 1) + 0.5) * 2 / (4096 << 18) + level * 2 / 4096)
+            log_c = math.log(s) + s / 3 + s * s * 7 / 72 if level < fingerprints.LOW else math.log(x[level])
+            r, b = x[h & 4095], ((h >> 42) + 0.5) / 2**22
+            t = math.floor(math.log(n) / r + b)
+            rank = math.floor((log_c - r * (t - b) - r + 80) * (1 << 23))
+            sample = (rank, (term ^ t) & 0xFFFFFFFF)
+            least = sample if least is None or sample < least else least
+        found.append(f"{least[1]:08x}" if least else "0" * 8)
+    return "".join(found)
+
+
+def test_fingerprints_are_the_brute_force_samples(spark, docs, plain):
+    got = rows(fingerprints.fingerprint_edited(docs, 8), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    keys, own = sorted(plain), {k: brute_samples(plain[k].encode().split(), 8) for k in plain}
+    share = lambda a, b: sum(a[i : i + 8] == b[i : i + 8] for i in range(0, 64, 8)) / 8
+    for k, after in zip(keys, [*keys[1:], keys[0]]):
+        m = len(plain[k]) // 4
+        other = brute_samples((plain[k][: len(plain[k]) - m] + plain[after][:m]).encode().split(), 8)
+        assert got[k] == (own[k], other, share(own[k], other), share(own[k], own[after]))
+    assert rows(fingerprints.fingerprint(docs, 8), "fingerprint") == {k: (v,) for k, v in own.items()}
+
+
+def test_gamma_quantiles():
+    x = np.array(fingerprints._quantiles())
+    assert (np.diff(x) > 0).all() and abs(x.mean() - 2) < 1e-3 and abs(x.var() - 2) < 1e-2
+
+
+def test_fingerprints_odd_tables(spark):
+    """Repeated rows, null ids, ties, one row, clashing columns, and a very long text."""
+    said = [(None, "a b"), (None, "a b"), (5, "c"), (5, "c d"), (5, None), (9, "w x " * 200_000), (7, "")]
+    df = spark.createDataFrame([(k, t, 1, "z") for k, t in said], "doc_id long, text string, bucket int, row string")
+    got = fingerprints.fingerprint_edited(df).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(k) for k, _ in said)
+    assert {r["n_chars"] for r in got if r["doc_id"] == 9} == {800_000}
+    none = [r for r in got if r["doc_id"] is None]
+    assert len({r["fingerprint"] for r in none}) == 1 and none[0]["near_next"] in (1.0, none[1]["near_next"])
+    single = fingerprints.fingerprint_edited(df.filter("doc_id = 7")).collect()
+    assert [(r["near_edited"], r["near_next"], r["n_chars"]) for r in single] == [(1.0, 1.0, 0)]
 
 
 def test_simhash(spark, docs, plain):
