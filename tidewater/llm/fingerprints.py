@@ -28,8 +28,8 @@ from .common import SPACES, table, text_of
 #: Stands for a null doc_id inside.
 NO_ID = -(1 << 63)
 
-#: Samples in a signature, and those of them that one row draws.
-SAMPLES, DRAWN = 64, 8
+#: Samples in a signature, and those of them that one row draws (with more, the code of a row is too long to be compiled).
+SAMPLES, DRAWN = 64, 2
 #: Shares of probability that gamma variates are tabulated for, and the lowest of them, which are worked out.
 LEVELS, LOW = 4096, 64
 #: Buckets for each shuffle partition.
