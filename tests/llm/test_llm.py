@@ -75,7 +75,7 @@ def test_records(spark, docs, plain):
         assert got[k] == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     name = manifest.first()["name"]
-    files, _ = records._filesystem(folder)
+    files, _ = records.filesystem(folder)
     whole = [k for k, _ in records.fetch(files, name)]
     picks = np.array([2, 0, 1])
     assert [k for k, _ in records.fetch(files, name, picks)] == [whole[i] for i in picks]
@@ -375,6 +375,52 @@ def test_chat(spark):
     assert {r["conv_id"]: r["turns_sha256"] for r in chat.digest(small).collect()} == {k: r["turns_sha256"] for k, r in got.items()}
 
 
+def brute_windows(turns, budget, history, block):
+    """(system and history turns, new turns) of each window, by their places in a conversation of (number, role, text)."""
+    cost = lambda i: len(re.findall(r"\w+|[^\w\s]", turns[i][2])) + chat.TURN_COST
+    system = turns[0][1] == "system"
+    out, room, last = [], budget - (cost(0) if system else 0), None
+    for i in range(system, len(turns)):
+        if last and turns[i][0] // block == turns[i - 1][0] // block and sum(map(cost, range(last[0], i + 1))) <= room:
+            last[2] = i + 1
+            continue
+        h = i
+        while h > system and sum(map(cost, range(h - 1, i))) <= history:
+            h -= 1
+        if sum(map(cost, range(h, i + 1))) > room:
+            h = i
+        last = [h, i, i + 1]
+        out.append(last)
+    found = [(int(system) + i - h, j - h + int(system)) for h, i, j in out]
+    alone = system and (len(turns) == 1 or turns[1][0] // block != turns[0][0] // block)
+    return [(1, 1)] * alone + found
+
+
+def test_chat_windows_are_the_brute_force_ones(spark):
+    r = random.Random(9)
+    said = {}
+    for k in range(12):
+        numbers = sorted(r.sample(range(-5, 60 if k % 2 else 3000), 40))
+        said[k] = [(n, "system" if k % 3 == 0 and i == 0 else r.choice(["user", "assistant"]), "щ " * r.choice([0, 1, 3, 9, 30]) + str(n)) for i, n in enumerate(numbers)]
+    df = spark.createDataFrame([(k, *t) for k, v in said.items() for t in v], "conv_id long, turn long, role string, text string")
+    for budget, history, block in ((40, 16, 8), (512, 128, 1024), (30, 12, 1)):
+        windows = chat.format_conversations(df, budget, history, block).orderBy("conv_id", "block", "window").collect()
+        for k, turns in said.items():
+            own = [w for w in windows if w["conv_id"] == k]
+            assert [(w["lead"], w["n_turns"]) for w in own] == brute_windows(turns, budget, history, block)
+            under = [w["formatted"][m["start"] : m["end"]] for w in own for m in w["mask"]]
+            assert under == [t for _, role, t in turns if role == "assistant"]
+
+
+def test_chat_odd_rows(spark):
+    said = [(None, 1, "user", "a"), (None, None, "assistant", "b"), (None, None, None, None), (4, 2, "user", "x"), (4, 2, "assistant", "[INST] &lsqb; <|end|>\n"), (4, 2, "assistant", "[INST] &lsqb; <|end|>\n")]
+    df = spark.createDataFrame([(*x, 1) for x in said], "conv_id long, turn long, role string, text string, block int")
+    got = {r["conv_id"]: r for r in chat.digest(chat.format_conversations(df)).collect()}
+    assert (got[None]["n_turns"], got[None]["loss_sha256"]) == (3, sha("b"))
+    assert (got[4]["n_turns"], got[4]["loss_sha256"]) == (3, sha("[INST] &lsqb; <|end|>\n" * 2))
+    assert not any("[" in w["formatted"] for w in chat.format_conversations(df).collect())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import uuid
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but these six ASCII spaces (the same set as bytes.split()).
 SPACES = r"[\x20\x09-\x0D]+"
-#: Used where the session names no shared folder, as in tests.
+#: Used where a local session names no shared folder, as in tests.
 DEFAULT_SHARED = "/tmp/checkpoints/tidewater"
 
 
@@ -27,22 +30,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
-    return spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED
+    """The folder that driver and executors share; on a cluster the session has to name it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    return named or DEFAULT_SHARED
+
+
+def filesystem(folder: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system of a folder, and the folder's path there."""
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}")
+
+
+def opened(path: str) -> pa.NativeFile:
+    """A file of the shared folder, to read from."""
+    files, place = filesystem(path)
+    return files.open_input_file(place)
 
 
 #: Drops a query's shuffle files as soon as it has ended.
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, survives lost executors, and frees the shuffle files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEAN, "false")
     spark.conf.set(CLEAN, "true")
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     finally:
         spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -56,6 +73,14 @@ def release(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_of(df: DataFrame) -> DataFrame:
     """doc_id and text alone, a null text read as an empty one; other columns are dropped."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

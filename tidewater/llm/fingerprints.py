@@ -91,7 +91,8 @@ def _dealt(docs: DataFrame) -> DataFrame:
     rows = text_of(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     bounds = _bounds(rows) or [(NO_ID, 0)]
     n = len(bounds)
-    ids, hashes = (F.array(*[F.lit(b[i]).cast("long") for b in bounds]) for i in (0, 1))
+    # a literal each, of 8 bytes a bucket
+    ids, hashes = (F.split(F.lit(",".join(str(b[i]) for b in bounds)), ",").cast("array<long>") for i in (0, 1))
 
     def reached(i: Column) -> Column:
         return (F.get(ids, i) < F.col("doc_id")) | ((F.get(ids, i) == F.col("doc_id")) & (F.get(hashes, i) <= F.col("h")))
@@ -102,7 +103,9 @@ def _dealt(docs: DataFrame) -> DataFrame:
     head = (F.get(ids, F.col("bucket")) == F.col("doc_id")) & (F.get(hashes, F.col("bucket")) == F.col("h"))
     before = F.when(F.col("bucket") == 0, n - 1).otherwise(F.col("bucket") - 1)
     own, guest = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("guest")), F.struct(before.alias("bucket"), F.lit(1).alias("guest"))
-    return rows.select("doc_id", "h", "text", F.explode(F.when(head, F.array(own, guest)).otherwise(F.array(own))).alias("to")).select("to.*", "doc_id", "h", "text")
+    dealt = rows.select("doc_id", "h", "text", F.explode(F.when(head, F.array(own, guest)).otherwise(F.array(own))).alias("to"))
+    # as many partitions as buckets: a text's terms need far more memory than the text, which is all that adaptive plans see
+    return dealt.select("to.*", "doc_id", "h", "text").repartition(n, "bucket")
 
 
 def edited(docs: DataFrame) -> DataFrame:

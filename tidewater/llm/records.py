@@ -2,7 +2,7 @@
 
 A record is: the payload's length (8 bytes), the masked CRC-32 of these 8 bytes (4), the payload, the masked CRC-32 of the
 payload (4); all little-endian. A payload is the document's id (8 bytes, the least value for null) and its token ids (2 bytes
-each, 4 if the vocabulary is larger than 65,536). Beside each file `shard-N-*.rec` stands `shard-N-*.idx`: an 8-byte
+each; a vocabulary that needs more is refused). Beside each file `shard-N-*.rec` stands `shard-N-*.idx`: an 8-byte
 offset for each record, so that a reader can fetch records in any order. A CRC is masked by rotating it right
 by 15 bits and adding a constant, so that a checksum of data that holds checksums stays strong.
 
@@ -10,7 +10,7 @@ Documents are dealt by ranges of doc_id, so shards are ordered among themselves
 name of its own and then reports it; only reported shards count, so a task that is run again leaves no trace in the result.
 
 Defined results: a null text is an empty one (its record holds the end id alone); rows that share a doc_id are kept,
-ordered by text; a null doc_id sorts first; an empty table gives an empty result; other columns are ignored.
+ordered by a hash of their texts; a null doc_id sorts first; very long texts are one record; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, shared_dir, ship, table, text_of
+from .common import filesystem, materialise, shared_dir, ship, table, text_of
 from .tokens import Chunks, kept, place
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 1
@@ -122,10 +122,6 @@ def library_encoder(vocabulary: str, mark: int | None = None) -> Chunks:
     return Chunks(many)
 
 
-def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}")
-
-
 MANIFEST = "shard int, name string, n_docs long, n_tokens long"
 
 
@@ -140,7 +136,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: in
         out, places = [], []
         for batch in batches:
             if store is None and batch.num_rows:
-                files, root = _filesystem(folder)
+                files, root = filesystem(folder)
                 files.create_dir(root, recursive=True)
                 name = f"{root}/shard-{shard}-{uuid.uuid4().hex}"
                 store, index = files.open_output_stream(f"{name}.rec"), files.open_output_stream(f"{name}.idx")
@@ -163,8 +159,8 @@ def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: in
             index.close()
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([name]), pa.array([docs_in], pa.int64()), pa.array([tokens_in], pa.int64())], ["shard", "name", "n_docs", "n_tokens"])
 
-    rows = text_of(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return rows.mapInArrow(work, MANIFEST)
+    rows = text_of(docs).withColumn("h", F.xxhash64("text"))
+    return rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").drop("h").mapInArrow(work, MANIFEST)
 
 
 def fetch(files: fs.FileSystem, name: str, picks: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
@@ -197,7 +193,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     shards = manifest.select("shard", "name", F.coalesce(starts, F.lit(0)).cast("long").alias("start"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, _ = _filesystem(folder)
+        files, _ = filesystem(folder)
         for batch in batches:
             for name, start in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 rows = []
@@ -210,7 +206,8 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.repartition("shard").mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # a task for each shard: without the number, adaptive plans would put these few rows into one
+    return shards.repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

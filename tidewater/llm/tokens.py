@@ -8,10 +8,12 @@ bounded size; the tokenizer itself works on the others, in batches.
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
 import os
 import re
 import sys
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -58,6 +60,13 @@ def place(name: str) -> str:
     return name if os.path.isabs(name) else public_tokenizers.path(name)
 
 
+@functools.cache
+def ends_a_word(letter: str) -> bool:
+    """Whether a closing mark after this letter is a token of its own: also in normal form and lower case, as which some
+    tokenizers read it, its last character has to be a letter."""
+    return letter <= "\uffff" and letter.isalpha() and unicodedata.normalize("NFC", letter).lower()[-1].isalpha()
+
+
 class Chunks:
     """Calling it gives the joined bytes of a text's chunks, which `many` makes from lists of chunks.
 
@@ -84,7 +93,7 @@ class Chunks:
         for line in lines:
             if parts:
                 parts.append("\n")
-            if len(line) > 1 and line[-1] in MARKS and line[-2].isalpha():
+            if len(line) > 1 and line[-1] in MARKS and ends_a_word(line[-2]):
                 parts += (line[:-1], line[-1])
             else:
                 parts.append(line)
@@ -109,7 +118,7 @@ class Chunks:
                 if key.isalpha():
                     words.append(i)
                     new.add(key)
-                elif key[-1:] and key[-1] in MARKS and (stem := key[:-1]).isalpha():
+                elif key[-1:] and key[-1] in MARKS and (stem := key[:-1]).isalpha() and ends_a_word(stem[-1]):
                     marked.append((i, stem, key[-1]))
                 else:
                     others.append((i, self._parts(key)))
