@@ -35,7 +35,7 @@ from .common import materialise, opened, ship, table, text_of
 from .tokens import kept, own
 
 #: Code points in an expression.
-ORDER = 6
+ORDER = 4
 #: What stands before and after a text.
 BEGIN, END = "\x02", "\x03"
 #: Code points in the windows over which evidence is averaged.
