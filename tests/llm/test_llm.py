@@ -98,18 +98,49 @@ def test_packing(spark, docs, plain):
         assert s.length.sum() <= 64 and s.offset.tolist() == np.cumsum([0, *s.length[:-1]]).tolist()
 
 
+def padding(length, capacity):
+    return 0 if length & (length - 1) == 0 else capacity - length
+
+
+def best_cost(places, penalties, capacity):
+    best = {0: 0}
+    for j in range(1, len(places)):
+        best[j] = min(best[i] + padding(places[j] - places[i], capacity) for i in range(j) if places[j] - places[i] <= capacity) + penalties[j]
+    return best[len(places) - 1]
+
+
 def test_packing_cuts_are_best():
     r = random.Random(3)
-    for _ in range(50):
-        places = [0]
-        while len(places) < 12:
-            places.append(places[-1] + r.randint(1, 9))
-        penalties = [r.randint(0, 5) for _ in places]
-        cost = lambda cuts: sum(20 - (b - a) + penalties[places.index(b)] for a, b in zip([0, *cuts], cuts))
-        best = {0: 0}
-        for j in range(1, 12):
-            best[j] = min(best[i] + 20 - places[j] + places[i] for i in range(j) if places[j] - places[i] <= 20) + penalties[j]
-        assert cost(packing.choose(places, penalties, 20)) == best[11]
+    for capacity in (20, 32):
+        for _ in range(50):
+            places = [0]
+            while len(places) < 12:
+                places.append(places[-1] + r.randint(1, 9))
+            penalties = [r.randint(0, 5) for _ in places]
+            cuts = packing.choose(places, penalties, capacity)
+            assert sum(padding(b - a, capacity) + penalties[places.index(b)] for a, b in zip([0, *cuts], cuts)) == best_cost(places, penalties, capacity)
+
+
+def test_packing_streams_give_the_whole_optimum():
+    r = random.Random(4)
+    packer, rows_, places, penalties = packing.Packer(64, 0, 8, block=30), [], [0], [0]
+    for k in range(300):
+        n = r.randint(1, 150)
+        ends = np.array(sorted(r.sample(range(n), min(n, 3))))
+        rows_ += packer.add(k, np.zeros(n, np.uint16), ends)
+        inside = {**{i: packing.INSIDE for i in range(8, n, 8)}, **{int(e): packing.SENTENCE for e in ends if 0 < e < n}, n: 0}
+        base = places[-1]
+        for p in sorted(inside):
+            places.append(base + p)
+            penalties.append(inside[p])
+    assert len(rows_) > 300  # given out before the end
+    rows_ += packer.flush()
+    sizes = Counter()
+    for row in rows_:
+        sizes[row[5]] += row[2]
+    cuts = np.cumsum([sizes[k] for k in sorted(sizes)]).tolist()
+    assert cuts[-1] == places[-1]
+    assert sum(padding(b - a, 64) + penalties[places.index(b)] for a, b in zip([0, *cuts], cuts)) == best_cost(places, penalties, 64)
 
 
 def test_fingerprints(spark, docs, plain):

@@ -3,22 +3,26 @@
 Documents form a stream in the order in which their table stores them, each input split for itself. Cuts may fall at
 document ends, at sentence ends, or at every GRID-th token of a document (so that no stretch is without a cut).
 Dynamic programming chooses the cuts of least cost: the padding of each sequence, plus a penalty for a cut at a
-sentence end or inside a sentence. best[j] = penalty(j) + capacity - P[j] + min(best[i] + P[i]) over the cuts i at most
-`capacity` tokens before j; as that window only moves right, a monotone queue gives its minimum in constant time.
-The stream is worked on in stretches of about BLOCK cuts; the last sequence of a stretch goes on in the next.
+sentence end or inside a sentence. A sequence is padded to the capacity, but one whose length is a power of two stays as it
+is. So best[j] = penalty(j) + the lesser of capacity - P[j] + min(best[i] + P[i]) over the cuts i at most `capacity` tokens
+before j (as that window only moves right, a monotone queue gives its minimum in constant time) and of best[i] over the
+cuts i a power of two before j.
 
-A sequence is padded to the capacity, but one whose length is a power of two stays as it is.
+Pieces are given out as soon as all cuts that may still follow lead back to the same one, so they are those of the whole stream's
+optimum. Should that not happen within LIMIT cuts, which takes a stream without any preference, the best cuts so far are taken.
 
-Defined results: a null text is an empty one (the end id alone); rows that share a doc_id are packed one for one;
-an empty table gives an empty result; other columns are ignored. sequence_id is unique; it holds the number of
+Defined results: a null text is an empty one (the end id alone); rows that share a doc_id, or have none, are packed one for one;
+an empty table gives an empty result; very long texts are cut like others; other columns are ignored. sequence_id is unique; it holds the number of
 the input split in its upper bits.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -33,43 +37,96 @@ VOCABULARY, END_ID, CAPACITY = "byte_bpe_50k.json", 0, 1024
 #: Tokens of padding that a cut at a sentence end, or inside a sentence, is worth avoiding for.
 SENTENCE, INSIDE = 2, 12
 #: Tokens between the cuts that are possible inside a sentence.
-GRID = 64
-BLOCK = 20_000
+GRID = 32
+#: Cuts after which pieces are given out, and those that may wait for it.
+BLOCK, LIMIT = 20_000, 200_000
 MARK = 0xFFFF
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 
+class Cuts:
+    """The dynamic programme over a growing list of possible cuts; places ascend from 0, no two neighbours are further apart than capacity."""
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.powers = [1 << k for k in range(capacity.bit_length()) if 1 << k < capacity]
+        self.places, self.best, self.last = [0], [0], [0]
+        self.at = {0: 0}  # by place, of cuts within the capacity and some before
+        self.queue = deque([(0, 0)])  # (best + place, cut), ascending in both
+
+    def extend(self, places: list[int], penalties: list[int]) -> None:
+        capacity, queue, powers, at = self.capacity, self.queue, self.powers, self.at
+        all_places, best, last, look = self.places, self.best, self.last, self.at.get
+        for p, penalty in zip(places, penalties):
+            j = len(all_places)
+            while p - all_places[queue[0][1]] > capacity:
+                queue.popleft()
+            value, i = queue[0]
+            cost = value + capacity - p
+            if cost:
+                for size in powers:
+                    k = look(p - size)
+                    if k is not None and best[k] < cost:
+                        cost, i = best[k], k
+            cost += penalty
+            all_places.append(p)
+            best.append(cost)
+            last.append(i)
+            at[p] = j
+            cost += p
+            while queue and queue[-1][0] >= cost:
+                queue.pop()
+            queue.append((cost, j))
+
+    def settled(self) -> int:
+        """The latest cut through which every way to what may follow leads."""
+        oldest = self.places[-1] - self.capacity
+        open_ = [j for j in range(bisect_left(self.places, oldest), len(self.places))]
+        waiting = set(open_)
+        heap = [-j for j in open_]
+        heapify(heap)
+        while len(waiting) > 1:
+            j = -heappop(heap)
+            waiting.discard(j)
+            i = self.last[j]
+            if i not in waiting:
+                waiting.add(i)
+                heappush(heap, -i)
+        return waiting.pop()
+
+    def way(self, j: int) -> list[int]:
+        """The places of the best cuts up to cut j."""
+        found = []
+        while j:
+            found.append(self.places[j])
+            j = self.last[j]
+        return found[::-1]
+
+    def drop(self, j: int) -> None:
+        """Start anew at cut j; all that may follow leads through it."""
+        origin, worth = self.places[j], self.best[j]
+        self.places = [p - origin for p in self.places[j:]]
+        self.best = [b - worth for b in self.best[j:]]
+        self.last = [max(0, i - j) for i in self.last[j:]]
+        self.queue = deque((c - worth - origin, i - j) for c, i in self.queue if i >= j)
+        self.at = {p: i for i, p in enumerate(self.places)}
+
+
 def choose(places: list[int], penalties: list[int], capacity: int) -> list[int]:
     """Cuts of least cost, as positions. places ascend from 0, no two neighbours are further apart than capacity; the last is a cut."""
-    best, last = [0] * len(places), [0] * len(places)
-    queue = deque([(0, 0)])  # (best + place, cut), ascending in both
-    for j in range(1, len(places)):
-        p = places[j]
-        while p - places[queue[0][1]] > capacity:
-            queue.popleft()
-        value, i = queue[0]
-        last[j] = i
-        best[j] = cost = value + capacity - p + penalties[j]
-        cost += p
-        while queue and queue[-1][0] >= cost:
-            queue.pop()
-        queue.append((cost, j))
-    cuts, j = [], len(places) - 1
-    while j:
-        cuts.append(places[j])
-        j = last[j]
-    return cuts[::-1]
+    cuts = Cuts(capacity)
+    cuts.extend(places[1:], penalties[1:])
+    return cuts.way(len(places) - 1)
 
 
 class Packer:
     """Takes documents in order and gives pieces: (doc_id, start, length, crc, doc_tokens, sequence_id, offset)."""
 
-    def __init__(self, capacity: int, sequence_id: int, grid: int = GRID):
-        self.capacity, self.sequence_id, self.grid = capacity, sequence_id, min(grid, capacity)
+    def __init__(self, capacity: int, sequence_id: int, grid: int = GRID, block: int = BLOCK):
+        self.capacity, self.sequence_id, self.grid, self.block = capacity, sequence_id, min(grid, capacity), block
         self.docs: list[tuple] = []  # (doc_id, ids, place in the stream), of those not yet packed
-        self.places, self.penalties, self.origin, self.stop = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0, 0
-        self.waiting = 0
+        self.cuts, self.origin, self.stop, self.next = Cuts(capacity), 0, 0, block
 
     def add(self, doc_id: int | None, ids: np.ndarray, sentences: np.ndarray) -> Iterator[tuple]:
         n = len(ids)
@@ -81,23 +138,23 @@ class Packer:
         cost = penalty[at]
         cost[-1] = 0
         self.docs.append((doc_id, ids, self.stop))
-        self.places.append(at + self.stop)
-        self.penalties.append(cost)
+        self.cuts.extend((at + (self.stop - self.origin)).tolist(), cost.tolist())
         self.stop += n
-        self.waiting += len(at)
-        if self.waiting >= BLOCK:
-            yield from self.flush(False)
-
-    def flush(self, all_of_it: bool = True) -> Iterator[tuple]:
-        if self.stop == self.origin:
-            return
-        places, penalties = np.concatenate(self.places), np.concatenate(self.penalties)
-        ahead = places > self.origin
-        cuts = choose([0, *(places[ahead] - self.origin).tolist()], [0, *penalties[ahead].tolist()], self.capacity)
-        if not all_of_it:
-            cuts.pop()
+        if len(self.cuts.places) >= self.next:
+            j = self.cuts.settled()
+            if not j and len(self.cuts.places) >= LIMIT:
+                j = self.cuts.last[-1]
+            yield from self.give(j)
+            self.next = len(self.cuts.places) + self.block
+
+    def flush(self) -> Iterator[tuple]:
+        """What is left of the stream."""
+        yield from self.give(len(self.cuts.places) - 1)
+
+    def give(self, j: int) -> Iterator[tuple]:
+        """The pieces up to cut j."""
         d, lo = 0, self.origin
-        for hi in (c + self.origin for c in cuts):
+        for hi in (c + self.origin for c in self.cuts.way(j)):
             at = lo
             while at < hi:
                 doc_id, ids, begin = self.docs[d]
@@ -110,9 +167,7 @@ class Packer:
             self.sequence_id += 1
             lo = hi
         self.origin, self.docs = lo, self.docs[d:]
-        keep = places > lo
-        self.places, self.penalties = [places[keep]], [penalties[keep]]
-        self.waiting = 0 if all_of_it else int(keep.sum())
+        self.cuts.drop(j)
 
 
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
