@@ -452,6 +452,102 @@ def test_chat_odd_rows(spark):
     assert not any("[" in w["formatted"] for w in chat.format_conversations(df).collect())
 
 
+def brute_ratios(toxic, ordinary, order):
+    """log P(c | context, toxic) - log P(c | context, ordinary) by the formulas, from lists of texts."""
+    pad = lambda t: toxicity.BEGIN * (order - 1) + t.lower() + toxicity.END
+    counts = {y: Counter(p[i : i + order] for t in said for p in [pad(t)] for i in range(len(p) - order + 1)) for y, said in ((0, ordinary), (1, toxic))}
+
+    def loss(table):
+        of = Counter(table.values())
+        d = toxicity.discounts(*(of[k] for k in (1, 2, 3, 4)))
+        return lambda n: d[min(n, 3) - 1] if n else 0.0
+
+    below, types = None, set(counts[0]) | set(counts[1])
+    levels = {}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in types)
+        types = set(levels[k])
+    for k in range(1, order):
+        table, lost = levels[k], loss(levels[k])
+        total, gone = Counter(), Counter()
+        for g, n in table.items():
+            total[g[:-1]] += n
+            gone[g[:-1]] += lost(n)
+        below = {g: (n - lost(n) + gone[g[:-1]] * (1 / len(table) if k == 1 else below[g[1:]])) / total[g[:-1]] for g, n in table.items()}
+    out, parts = {}, []
+    for y in (0, 1):
+        lost, total, gone = loss(counts[y]), Counter(), Counter()
+        for g, n in counts[y].items():
+            total[g[:-1]] += n
+            gone[g[:-1]] += lost(n)
+        parts.append((counts[y], lost, total, gone))
+    for g in set(counts[0]) | set(counts[1]):
+        logs = []
+        for table, lost, total, gone in parts:
+            c = g[:-1]
+            back = gone[c] / total[c] if total[c] else 1.0
+            own = (table[g] - lost(table[g])) / total[c] if total[c] else 0.0
+            logs.append((math.log(own + back * below[g[1:]]), math.log(back)))
+        out[g], out[g[:-1]] = logs[1][0] - logs[0][0], logs[1][1] - logs[0][1]
+    return out
+
+
+def test_toxicity_ratios_are_the_formulas(spark):
+    r = random.Random(12)
+    said = [(" ".join(r.choice(WORDS) for _ in range(r.randint(0, 9))) + r.choice(["", "é", "漢字", "!"]), int(i % 3 == 0)) for i in range(60)]
+    grams = toxicity.counted(spark.createDataFrame(said, "text string, toxic int"), 4)
+    want = brute_ratios([t for t, y in said if y], [t for t, y in said if not y], 4)
+    model = toxicity.ratios(grams, [], 4)
+    assert {r_["gram"]: round(r_["ratio"], 9) for r_ in model.collect()} == {g: round(v, 9) for g, v in want.items()}
+    pages = toxicity.store(model, 4)
+    points, starts, ends = toxicity.code_points(["idiot the zz", ""], 4)
+    got, text = pages.ratios(points), points.astype("<u4").tobytes().decode("utf-32-le")
+    for i in range(3, len(points)):
+        g = text[i - 3 : i + 1]
+        assert abs(got[i - 3] - want.get(g, want.get(g[:-1], 0.0))) < 1e-5
+    pages.pages.clear()
+    assert pages.look(np.array([5], np.uint64)).tolist() != [0.0]
+
+
+def test_viterbi_is_the_best_path():
+    r = np.random.default_rng(7)
+    for _ in range(40):
+        field = quality.Field(r.normal(size=quality.FEATURES), r.normal(size=(2, 2)))
+        lines = r.integers(1, 1 << quality.FEATURES, 7).tolist()
+        worth = lambda marks: sum(m * field.lean(x) for m, x in zip(marks, lines)) + sum(field.moves[a, b] for a, b in zip(marks, marks[1:]))
+        paths = [[k >> i & 1 for i in range(7)] for k in range(128)]
+        assert worth(field.decode(lines)) == pytest.approx(max(map(worth, paths)))
+
+
+def odd_rows(spark):
+    """Null and repeated ids, repeated rows, nulls everywhere, a long text, and columns that operators use inside."""
+    long = " ".join(f"w{i * i % 9973}" for i in range(120_000))
+    said = [(None, "a b c"), (None, "a b c"), (None, None), (4, "same words here and there"), (4, "same words here and there"), (4, "others"), (6, long), (7, "")]
+    return spark.createDataFrame([(k, t, "k", "r", 1, 2) for k, t in said], "doc_id long, text string, key string, row_number string, doc_key int, kept_row int")
+
+
+def test_odd_rows_in_every_operator(spark):
+    df = odd_rows(spark)
+    labels = spark.createDataFrame([(4, 1, 1), (None, 0, 0), (4, None, None)], "doc_id long, quality int, toxic int")
+    ids = sorted(map(str, [None, None, None, 4, 4, 4, 6, 7]))
+    for out in (toxicity.score(df, toxicity.train(df, labels)), quality.judge(df, quality.train(df, labels)), simhash.near_duplicates(df), bpe.round_trip(df), recompression.cut(df), suffix.cut(df)):
+        assert sorted(str(r["doc_id"]) for r in out.select("doc_id").collect()) == ids
+    folder = f"{DEFAULT_SHARED}/test-records-{random.getrandbits(64)}"
+    assert sorted(str(r["doc_id"]) for r in records.read(records.write(df, folder).cache(), folder).collect()) == ids
+    packed = packing.pack(df).collect()
+    assert {str(r["doc_id"]) for r in packed} == set(ids) and sum(r["length"] for r in packed if r["doc_id"] == 6) == {r["doc_tokens"] for r in packed if r["doc_id"] == 6}.pop()
+    assert simhash.keep_one(df).columns == df.columns == suffix.cut_table(df).columns
+    assert simhash.keep_one(df).count() == 5 and suffix.cut_table(df).count() == 8
+
+
+def test_empty_tables_in_every_operator(spark):
+    none = odd_rows(spark).limit(0)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    folder = f"{DEFAULT_SHARED}/test-records-{random.getrandbits(64)}"
+    for out in (toxicity.score(none, toxicity.train(none, labels)), quality.judge(none, quality.train(none, labels)), records.read(records.write(none, folder).cache(), folder), packing.pack(none), simhash.keep_one(none), suffix.cut_table(none)):
+        assert out.count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -8,12 +8,12 @@ words that its making depended on (its reach): equal words there give the same s
 Every window of 35 words chooses, among the highest-level symbols whose reach it holds, the one of least
 name (of a lower level where it holds none; words are level 0, so there is always one). Equal windows choose
 alike. The chosen symbols meet by name (see repeats): what recurs with its whole context is covered at once; symbols of one name in
-different contexts send their windows, which meet by their names and are verified by a second hash.
+different contexts send their windows, which meet by one hash of their words and are verified by another, over other names of the words.
 
 Windows are judged on the input, both occurrences count, windows never cross documents.
 
 Defined results: a null text has no words; under 35 words nothing is removed; rows that share a doc_id, or have none, are
-documents of their own; exactly repeated rows count as repeats of each other; an empty table gives an empty result; other columns are ignored.
+documents of their own; a very long text is worked on whole; exactly repeated rows count as repeats of each other; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from .tokens import kept
 WIDTH, ROUNDS = 35, 3
 #: The words that a symbol may stand for, and the widest reach of a chosen symbol of each level.
 LONGEST, REACH = 12, (1, 7, 12, 18)
+#: What the second names of words differ by.
+SECOND = np.uint64(0x5851F42D4C957F2D)
 #: Names of words that a worker keeps.
 KEPT = 800_000
 
@@ -168,9 +170,10 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return names, starts, sizes
 
 
-def _hashes(names: np.ndarray) -> tuple[np.ndarray, Powers]:
+def _hashes(names: np.ndarray, second: bool = False) -> tuple[np.ndarray, Powers]:
+    """Prefix sums over the words' names; the second ones are over others, so that no window that collides in one does so in both."""
     powers = kept("recompression powers", Powers).reach(len(names) + 1)
-    return prefix_sums(mix(names), powers), powers
+    return prefix_sums(mix(names ^ SECOND) if second else mix(names), powers), powers
 
 
 def anchors_of(keys: list[int], texts: list[str], width: int = WIDTH) -> pa.RecordBatch | None:
@@ -185,7 +188,7 @@ def anchors_of(keys: list[int], texts: list[str], width: int = WIDTH) -> pa.Reco
     cut = np.flatnonzero((np.diff(place) != 0) | (np.diff(windows) != 1) | (name[1:] != name[:-1])) + 1
     begin, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(windows)]]) - 1
     first, last, place, name = windows[begin], windows[end], place[begin], name[begin]
-    sums, powers = _hashes(names)
+    sums, powers = _hashes(names, True)
     ctx = mix((sums[last + width] - sums[first]) * powers.down[first] + ((place - first) << 8 | (last - first)).astype(np.uint64) * ODD)
     doc = np.searchsorted(starts, first, "right") - 1
     base = starts[doc]
@@ -212,14 +215,15 @@ def windows_of(docs: DataFrame) -> DataFrame:
                 keys, texts, locs = (part.column(i).to_pylist() for i in range(3))
                 names, starts, _ = _words(texts)
                 sums, powers = _hashes(names)
+                others, _ = _hashes(names, True)
                 loc = np.concatenate([np.array(x, np.int64) for x in locs])
                 doc = np.repeat(np.arange(len(keys)), [len(x) for x in locs])
                 more = (loc >> 8 & 255) + 1
                 place = ranges((loc >> 16) + starts[doc], more)
                 doc = np.repeat(doc, more)
-                whole = (sums[place + WIDTH] - sums[place]) * powers.down[place]
+                whole, other = ((x[place + WIDTH] - x[place]) * powers.down[place] for x in (sums, others))
                 start = place - starts[doc]
-                yield anchor_rows(mix(whole), mix(whole * ODD + names[place]), np.array(keys, np.int64)[doc], start, start, start, WIDTH, False)
+                yield anchor_rows(mix(whole), mix(other), np.array(keys, np.int64)[doc], start, start, start, WIDTH, False)
 
     return docs.mapInArrow(work, ANCHORS)
 

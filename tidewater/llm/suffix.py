@@ -16,7 +16,7 @@ Strings are judged on the input, overlaps count, matches never cross documents.
 kept bytes that do not form UTF-8 are dropped from kept_text, never from the digest.
 
 Defined results: a null text is an empty one; documents under 100 bytes keep everything; rows that share a doc_id, or have none, are documents of
-their own, ordered by text (a null doc_id first); of exactly repeated rows one stays; an empty table gives an empty result;
+their own, ordered by text (a null doc_id first); a very long text is one document, worked on whole; of exactly repeated rows one stays; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, release, ship, table
+from .common import materialise, release, ship, table, unused
 from .repeats import ANCHORS, ODD, SPAN, Powers, anchor_rows, asked, covered, grouped, has_keys, keyed, mix, prefix_sums, ranges, resolve, sliding_min, spans_of, with_spans
 from .tokens import kept
 
@@ -320,18 +320,22 @@ def cut(docs: DataFrame) -> DataFrame:
 def cut_table(docs: DataFrame) -> DataFrame:
     """docs with all their columns, text without what cut() removes and n_chars, if there is one, of what is left.
 
-    docs must give the same rows in the same order each time it is read, as a stored table does.
+    docs must give the same rows each time it is read, as a stored table does.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    key, froms_, tos_ = unused(docs, "doc_key"), unused(docs, "cut_froms"), unused(docs, "cut_tos")
     if has_keys(ids):
-        rows = docs.withColumn("_key", F.col("doc_id").cast("long"))
+        rows = docs.withColumn(key, F.col("doc_id").cast("long"))
     else:  # the number of a stored row tells equal doc_ids apart; their order decides what is earlier
-        numbers = docs.select(F.col("doc_id").cast("long").alias("_id"), F.monotonically_increasing_id().alias("_number"))
-        order = materialise(numbers.repartitionByRange("_id", "_number").sortWithinPartitions("_id", "_number").select("_number", F.monotonically_increasing_id().alias("_key")))
-        rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()).join(order, F.col("_row") == F.col("_number")).drop("_row", "_number"))
-    spans = repeated_spans(rows.select(F.col("_key").alias("key"), F.coalesce("text", F.lit("")).alias("text")))
-    lists = spans.filter(F.col("kind") == SPAN).groupBy("key").agg(F.collect_list("a").alias("_froms"), F.collect_list("b").alias("_tos"))
-    joined = rows.join(lists, rows._key == lists.key, "left").select(*docs.columns, "_froms", "_tos")
+        row = unused(docs, "row_number")
+        numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+        ordered = numbered.select(F.col("doc_id").cast("long").alias("o_id"), F.col(row).alias("o_row")).repartitionByRange("o_id", "o_row").sortWithinPartitions("o_id", "o_row")
+        order = materialise(ordered.select("o_row", F.monotonically_increasing_id().alias(key)))
+        rows = numbered.join(order.withColumnRenamed("o_row", unused(docs, "o_row")), F.col(row) == F.col(unused(docs, "o_row"))).select(*docs.columns, key)
+    spans = repeated_spans(rows.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text")))
+    of = unused(docs, "cut_key")
+    lists = spans.filter(F.col("kind") == SPAN).groupBy(F.col("key").alias(of)).agg(F.collect_list("a").alias(froms_), F.collect_list("b").alias(tos_))
+    joined = rows.join(lists, F.col(key) == F.col(of), "left").select(*docs.columns, froms_, tos_)
     at = docs.columns.index("text")
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 

@@ -18,7 +18,7 @@ weights; if the context was not seen either, it is 0.
 Defined results: a null text is an empty one and scores like any text without evidence; rows that share a doc_id
 are scored one for one; of several labels of a doc_id the largest counts, a label row with a null is passed over; without labels of both classes every score is
 the prior, 0.5 without any label; a null doc_id is never held out. An empty table gives an empty result. Very long texts are
-scored whole, in pieces of PIECE code points that share their borders. Other columns are ignored.
+scored whole. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, opened, ship, table, text_of
+from .common import materialise, opened, release, ship, table, text_of
 from .tokens import kept, own
 
 #: Code points in an expression.
@@ -135,15 +135,17 @@ def _context(gram: Column, size: int) -> Column:
     return F.substring(gram, 1, size - 1)
 
 
-def shared(grams: DataFrame, order: int = ORDER) -> DataFrame:
+def shared(grams: DataFrame, made: list[DataFrame], order: int = ORDER) -> DataFrame:
     """gram and p: the shared probability of the last code point of every gram of order - 1, from continuation counts.
 
-    A gram of order k counts how many different code points stand before it; each level backs off to the one below.
+    A gram of order k counts how many different code points stand before it; each level backs off to the one below. made gets the
+    stored tables that the result reads.
     """
     levels, above = {}, grams.select("gram")
     for k in range(order - 1, 0, -1):
         levels[k] = materialise(above.groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n")))
         above = levels[k]
+        made.append(above)
     p = None
     for k in range(1, order):
         level, facts = levels[k], _counts_of_counts(levels[k], ["n"])
@@ -161,7 +163,7 @@ def shared(grams: DataFrame, order: int = ORDER) -> DataFrame:
     return p
 
 
-def ratios(grams: DataFrame, order: int = ORDER) -> DataFrame:
+def ratios(grams: DataFrame, made: list[DataFrame], order: int = ORDER) -> DataFrame:
     """gram and ratio = log P(last code point | context, toxic) - log P(the same | ordinary): a row for each gram that was seen, and one
     for each context (shorter by one), with the ratio of those that were not seen after it."""
     facts = _counts_of_counts(grams, ["ordinary", "toxic"])
@@ -171,7 +173,7 @@ def ratios(grams: DataFrame, order: int = ORDER) -> DataFrame:
     sums = [F.sum(x).alias(f"{prefix}_{c}") for c in ("ordinary", "toxic") for x, prefix in ((c, "total"), (f"loss_{c}", "lost"))]
     contexts = rows.groupBy(_context(F.col("gram"), order).alias("c")).agg(*sums)
     backoff = {c: F.when(F.col(f"total_{c}") > 0, F.col(f"lost_{c}") / F.col(f"total_{c}")).otherwise(1.0) for c in ("ordinary", "toxic")}
-    below = shared(grams, order).select(F.col("gram").alias("s"), "p")
+    below = shared(grams, made, order).select(F.col("gram").alias("s"), "p")
     joined = rows.join(contexts, _context(F.col("gram"), order) == F.col("c")).join(below, F.substring("gram", 2, order - 1) == F.col("s"))
 
     def likelihood(c: str) -> Column:
@@ -254,6 +256,7 @@ def store(model: DataFrame, order: int = ORDER) -> Pages:
 
     pages = model.mapInArrow(work, "page int, key long, ratio float").repartition(1 << bits, "page").sortWithinPartitions("page", "key")
     done = materialise(pages, "page")
+    release(model)
     # a name or two for each page
     files: dict[int, list[str]] = {}
     for name in done.inputFiles():
@@ -342,7 +345,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not sums["ordinary"] or not sums["toxic"]:
         share = known.agg(F.avg("toxic")).first()[0]
         return Model(None, None, 0.5 if share is None else float(share))
-    pages = store(ratios(grams))
+    made = [grams]
+    pages = store(ratios(grams, made))
+    for old in made:
+        release(old)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own("toxicity")
