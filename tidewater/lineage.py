@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import time
 import uuid
 from contextlib import contextmanager
@@ -11,8 +12,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, GroupedData, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: Operations that change values in place of adding or removing columns.
-CHANGING = {"withColumn", "withColumns", "select", "selectExpr", "fillna", "replace", "agg", "transform"}
+# Operations that count as modifying columns.
+CHANGING = {
+    "select", "selectExpr", "drop", "withColumn", "withColumns", "withColumnRenamed", "withColumnsRenamed", "filter", "where", "orderBy", "sort", "join", "dropDuplicates",
+    "distinct", "limit", "repartition", "coalesce", "sample", "union", "unionByName", "dropna", "fillna", "replace", "withWatermark", "hint", "na",
+}
 
 
 @dataclass
@@ -24,21 +28,32 @@ class Step:
     removed: list[str]
     kept: list[str]
 
+    columns: list[str] = field(default_factory=list)
+
     @property
-    def change(self) -> str:
-        if len(self.parents) > 1:
-            return "new_dataframe"
-        if self.added:
-            return "add_columns"
-        if self.removed:
-            return "remove_columns"
-        return "modify_columns" if self.operation in CHANGING else "none"
+    def changes(self) -> list[str]:
+        """All kinds of change that the step made."""
+        return [name for name, holds in (("new_dataframe", len(self.parents) > 1), ("add_columns", self.added), ("remove_columns", self.removed), ("modify_columns", self.operation in CHANGING)) if holds]
 
 
 def _say(argument) -> str:
     return str(argument._jc) if isinstance(argument, Column) and hasattr(argument, "_jc") else argument.name if isinstance(argument, Traced) else repr(argument)
 
 
+def referenced(argument, known: list[str]) -> list[str]:
+    """Those of the known columns that an argument (a Column, a name or expression, a list, the keys of a dict) refers to."""
+    if isinstance(argument, (list, tuple)):
+        return list(dict.fromkeys(c for a in argument for c in referenced(a, known)))
+    if isinstance(argument, dict):
+        return list(dict.fromkeys([k for k in argument if k in known] + [c for v in argument.values() if isinstance(v, Column) for c in referenced(v, known)]))
+    if isinstance(argument, Column):
+        argument = _say(argument)
+    elif not isinstance(argument, str):
+        return []
+    names = re.findall(r"[A-Za-z_]\w*", re.sub(r"'[^']*'", "", argument))
+    return [c for c in dict.fromkeys(names) if c in known]
+
+
 class Traced:
     """A DataFrame that records its steps; any DataFrame method works and gives a traced frame again."""
 
@@ -60,7 +75,7 @@ class Traced:
             return result
         others = [a for a in args if isinstance(a, Traced)]
         before, after = self.df.columns, result.columns
-        step = Step(operation, [_say(a) for a in args], [self.name, *[o.name for o in others]], [c for c in after if c not in before], [c for c in before if c not in after], [c for c in after if c in before])
+        step = Step(operation, [_say(a) for a in args], [self.name, *[o.name for o in others]], [c for c in after if c not in before], [c for c in before if c not in after], [c for c in after if c in before], referenced(args, list(dict.fromkeys([*before, *after]))))
         if others:
             return Traced(result, f"NEW_FROM({', '.join(step.parents)})", None, [*self.steps, *[s for o in others for s in o.steps], step])
         return Traced(result, self.base, self.version, [*self.steps, step])
@@ -101,11 +116,13 @@ class Log:
     SCHEMAS = {
         "process": "log_id string, process string, started double, duration double, status string, num_records long",
         "storage": "log_id string, timestamp double, path string, version long, mode string, new boolean",
-        "field_lineage": "log_id string, path string, position int, operation string, change string, arguments array<string>, parents array<string>, added array<string>, removed array<string>",
+        "field_lineage": "log_id string, path string, position int, operation string, changes array<string>, columns array<string>, arguments array<string>, parents array<string>, added array<string>, removed array<string>",
         "error": "log_id string, timestamp double, process string, message string",
-        "duplicates": "log_id string, timestamp double, publication string, ids array<string>, filter string",
+        "duplicates": "log_id string, timestamp double, publication string, ids array<string>, filter string, day string, edition string, duplicates long",
     }
 
+    PARTITIONS = {"process": ["process"], "storage": ["path"], "field_lineage": ["log_id"], "duplicates": ["publication"]}
+
     def transformer(self, function):
         """A step of a process: timed, its rows counted while the frame that it gives is computed, errors logged."""
 
@@ -156,9 +173,43 @@ class Log:
         if self.enabled["storage"]:
             self.rows["storage"].append({"log_id": log_id, "timestamp": time.time(), "path": path, "version": version, "mode": mode, "new": version == 0})
         if self.enabled["field_lineage"] and isinstance(frame, Traced):
-            self.rows["field_lineage"] += [{"log_id": log_id, "path": path, "position": i, "operation": s.operation, "change": s.change, "arguments": s.arguments, "parents": s.parents, "added": s.added, "removed": s.removed} for i, s in enumerate(frame.steps)]
+            self.rows["field_lineage"] += [{"log_id": log_id, "path": path, "position": i, "operation": s.operation, "changes": s.changes, "columns": s.columns, "arguments": s.arguments, "parents": s.parents, "added": s.added, "removed": s.removed} for i, s in enumerate(frame.steps)]
+        return log_id
+
+    def found_duplicates(self, records: DataFrame, publication: str, day: str, edition: str) -> str:
+        """Appends the duplicate records, partitioned as entries are, and a summary row with their ids and the filter that finds them."""
+        log_id = uuid.uuid4().hex
+        year, month, number = (int(x) for x in day.split("-"))
+        said = f"lower(publication_name)='{publication.lower()}' AND publication_date_year={year} AND publication_date_month={month} AND publication_date_day={number}"
+        parts = [c for c in ("publication_name", "publication_date_year", "publication_date_month", "publication_date_day", "publication_edition") if c in records.columns]
+        self.store.write(records, "metadata", "duplicates_records", mode="append", partition_by=parts, level=-1)
+        ids = [r[0] for r in records.select(F.col("entry_id").cast("string")).collect()]  # of one edition of one day
+        self.rows["duplicates"].append({"log_id": log_id, "timestamp": time.time(), "publication": publication.lower(), "ids": ids, "filter": said, "day": day, "edition": edition.lower(), "duplicates": len(ids)})
         return log_id
 
+    def failed(self, process: str, message: str) -> None:
+        """A row for an error outside a transformer."""
+        self.rows["error"].append({"log_id": uuid.uuid4().hex, "timestamp": time.time(), "process": process, "message": message[:2000]})
+
+    def switch(self, kind: str, on: bool):
+        """A decorator: the function, or every public method of the class, runs with that kind of logging on or off."""
+
+        def around(target):
+            if isinstance(target, type):
+                for name, member in list(vars(target).items()):
+                    if callable(member) and not name.startswith("_"):
+                        setattr(target, name, around(member))
+                return target
+
+            @functools.wraps(target)
+            def run(*args, **kwargs):
+                with self.switched(kind, on):
+                    return target(*args, **kwargs)
+
+            return run
+
+        return around
+
     def flush(self) -> None:
         for kind, rows in self.rows.items():
             for row in rows:
@@ -168,10 +219,14 @@ class Log:
             if rows:
                 names = [c.strip().split()[0] for c in self.SCHEMAS[kind].split(", ")]
                 spark: SparkSession = self.store.spark
-                self.store.write(spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], self.SCHEMAS[kind]), "metadata", kind, mode="append", level=-1)
+                self.store.write(spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], self.SCHEMAS[kind]), "metadata", kind, mode="append", partition_by=self.PARTITIONS.get(kind), level=-1)
                 rows.clear()
 
-    def read(self, kind: str) -> DataFrame | None:
+    def read(self, kind: str, duplicates: bool = False):
+        """A log in order; with duplicates, that log and the records that it counts, ordered by their text."""
+        if duplicates:
+            records = self.store.read("metadata", "duplicates_records", level=-1)
+            return self.read("duplicates"), records if records is None or "parsed_text" not in records.columns else records.orderBy("parsed_text")
         df = self.store.read("metadata", kind, level=-1)
         order = {"process": "started", "field_lineage": "position"}.get(kind, "timestamp")
         return None if df is None else df.orderBy(order)

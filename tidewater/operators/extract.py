@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,10 +26,12 @@ SINGLE = {
     "ship_agents": Mention("ship_agent_name", "ship_agent_name"),
     "brokers": Mention("broker_name", "broker_name"),
 }
+# What field_origin says of nested mentions; ids hold it.
+CALLS, COMMODITY_AND_UNIT = "travel_port_of_call_list", "cargo_list.cargo"
 NESTED = {
-    "cargo_merchants": Mention("cargo_merchant_name", "cargo_merchant_name", (("cargo_list", "merchant_idx"),)),
-    "cargo_commodities": Mention("cargo_commodity", "cargo_commodity", (("cargo_list", "merchant_idx"), ("cargo", "cargo_idx"))),
-    "cargo_units": Mention("cargo_unit", "cargo_unit", (("cargo_list", "merchant_idx"), ("cargo", "cargo_idx"))),
+    "cargo_merchants": Mention("cargo_list.cargo_merchant_name", "cargo_merchant_name", (("cargo_list", "merchant_idx"),)),
+    "cargo_commodities": Mention("cargo_list.cargo.cargo_commodity", "cargo_commodity", (("cargo_list", "merchant_idx"), ("cargo", "cargo_idx"))),
+    "cargo_units": Mention("cargo_list.cargo.cargo_unit", "cargo_unit", (("cargo_list", "merchant_idx"), ("cargo", "cargo_idx"))),
 }
 ENTRY_FIELDS = ("travel_departure_port", "travel_departure_date", "travel_arrival_port", "travel_arrival_date", "ship_type", "ship_flag", "ship_tons_capacity", "ship_name", "master_role", "master_name")
 
@@ -44,31 +46,38 @@ def _exploded(entries: DataFrame, path: tuple[tuple[str, str], ...]) -> DataFram
     return rows
 
 
+def _id(origin: str, *places: str) -> Column:
+    """entry_id-origin-place-...; NULL if entry_id is."""
+    return F.concat(F.col("entry_id"), F.lit(f"-{origin}"), *[F.concat(F.lit("-"), F.col(p).cast("string")) for p in places])
+
+
 def mentions(entries: DataFrame, m: Mention) -> DataFrame:
     """id, entry_id, temp_key, field_origin, the indexes, citation."""
     if not m.path:
         return entries.select(F.col("entry_id").alias("id"), "entry_id", "temp_key", F.lit(m.origin).alias("field_origin"), F.col(m.value).alias("citation"))
     places = [i for _, i in m.path]
-    parts = [F.col("entry_id"), F.lit(m.origin), *[F.col(i).cast("string") for i in places]]
-    return _exploded(entries, m.path).select(F.concat_ws("-", *parts).alias("id"), "entry_id", "temp_key", F.lit(m.origin).alias("field_origin"), *places, F.col("item")[m.value].alias("citation"))
+    return _exploded(entries, m.path).select(_id(m.origin, *places).alias("id"), "entry_id", "temp_key", F.lit(m.origin).alias("field_origin"), *places, F.col("item")[m.value].alias("citation"))
 
 
 def commodities_and_units(entries: DataFrame) -> DataFrame:
     """Both parts of each cargo and `commodity-unit`, NULL if either is."""
     rows, c, u = _exploded(entries, NESTED["cargo_units"].path), F.col("item.cargo_commodity"), F.col("item.cargo_unit")
-    key = F.concat_ws("-", "entry_id", F.lit("cargo_commodity_and_unit"), F.col("merchant_idx").cast("string"), F.col("cargo_idx").cast("string"))
-    return rows.select(key.alias("id"), "entry_id", "temp_key", F.lit("cargo_commodity_and_unit").alias("field_origin"), "merchant_idx", "cargo_idx", c.alias("cargo_commodity_citation"), u.alias("cargo_unit_citation"), F.concat(c, F.lit("-"), u).alias("citation"))
+    key = _id(COMMODITY_AND_UNIT, "merchant_idx", "cargo_idx")
+    return rows.select(key.alias("id"), "entry_id", "temp_key", F.lit(COMMODITY_AND_UNIT).alias("field_origin"), "merchant_idx", "cargo_idx", c.alias("cargo_commodity_citation"), u.alias("cargo_unit_citation"), F.concat(c, F.lit("-"), u).alias("citation"))
 
 
-def ports(entries: DataFrame) -> DataFrame:
-    """Departure, ports of call and arrival of each entry."""
+def ports(entries: DataFrame, departure: bool = True, calls: bool = True, arrival: bool = True) -> DataFrame:
+    """Departure, ports of call and arrival of each entry, or some of them."""
 
-    def one(origin: str, column: str) -> DataFrame:
-        return entries.select(F.concat_ws("-", "entry_id", F.lit(origin), F.lit("0")).alias("id"), "entry_id", "temp_key", F.lit(origin).alias("field_origin"), F.lit(0).alias("port_idx"), F.col(column).alias("citation"))
+    def one(origin: str) -> DataFrame:
+        rows = entries.select("entry_id", "temp_key", F.lit(origin).alias("field_origin"), F.lit(0).alias("port_idx"), F.col(origin).alias("citation"))
+        return rows.select(_id(origin, "port_idx").alias("id"), "*")
 
-    calls = entries.select("entry_id", "temp_key", F.posexplode("travel_port_of_call_list").alias("port_idx", "item"))
-    calls = calls.select(F.concat_ws("-", "entry_id", F.lit("travel_port_of_call"), F.col("port_idx").cast("string")).alias("id"), "entry_id", "temp_key", F.lit("travel_port_of_call").alias("field_origin"), "port_idx", F.col("item.port_of_call_place").alias("citation"))
-    return reduce(DataFrame.unionByName, [one("travel_departure_port", "travel_departure_port"), calls, one("travel_arrival_port", "travel_arrival_port")])
+    called = Mention(CALLS, "port_of_call_place", ((CALLS, "port_idx"),))
+    parts = [one("travel_departure_port")] if departure else []
+    parts += [mentions(entries, called)] if calls else []
+    parts += [one("travel_arrival_port")] if arrival else []
+    return reduce(DataFrame.unionByName, parts)
 
 
 def entry_fields(entries: DataFrame) -> DataFrame:

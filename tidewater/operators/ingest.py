@@ -78,10 +78,11 @@ def duplicates(existing: DataFrame, new: DataFrame, text: str = "parsed_text", w
     return old.unionByName(fresh, allowMissingColumns=True)
 
 
-def missing_dates(df: DataFrame, column: str = "publication_date", start=None, end=None) -> DataFrame:
-    """Days between the first and the last (or the given ones) that no row has."""
+def missing_dates(df: DataFrame, column: str = "publication_date", start=None, end=None, bounds: DataFrame | None = None) -> DataFrame:
+    """Days between the first and the last (or the given ones, also as a row a, b of a frame) that no row has."""
     days = df.select(F.to_date(column).alias("day")).filter("day is not null").distinct()
-    bounds = days.agg(F.coalesce(F.lit(start).cast("date"), F.min("day")).alias("a"), F.coalesce(F.lit(end).cast("date"), F.max("day")).alias("b"))
+    if bounds is None:
+        bounds = days.agg(F.coalesce(F.lit(start).cast("date"), F.min("day")).alias("a"), F.coalesce(F.lit(end).cast("date"), F.max("day")).alias("b"))
     calendar = bounds.filter("a <= b").select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("day"))
     return calendar.join(days, "day", "left_anti")
 

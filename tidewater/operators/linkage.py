@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import algorithm
+from ..functions.similarity import algorithm, enrich_distinct
 
 #: No level is ever impossible.
 FLOOR = 1e-6
@@ -48,6 +48,97 @@ class Model:
         return json.dumps({"lambda": self.match_share, "comparisons": [{"comparison": c.name, "levels": [{"level": i, "label": "else" if i == 0 else "exact" if i == c.size - 1 else str(c.levels[c.size - 2 - i][0]), "m": self.m[c.name][i], "u": self.u[c.name][i]} for i in range(c.size)]} for c in self.comparisons]})
 
 
+#: The column that an algorithm compares, made from a text; the others compare the text itself.
+DERIVED = {"soundex": ("_soundex", lambda c: F.soundex(c))}
+
+
+def algorithms(output: str, entity: dict, general: dict) -> list[dict]:
+    """What an entity's settings say of each of its algorithms: column, name, thresholds and parameters."""
+    found = []
+    for key in entity.get("algorithms", []):
+        spec = general[key]
+        suffix = DERIVED.get(spec["algorithm"], ("", None))[0]
+        algorithm(spec["algorithm"])  # an unknown one is an error
+        found.append({"column": output + suffix, "algorithm": spec["algorithm"], "thresholds": list(spec["thresholds"]), "params": spec.get("params", {})})
+    return found
+
+
+def grouped(found: list[dict]) -> list[Comparison]:
+    """A comparison for each column: algorithms that share it add their levels in the order given."""
+    levels: dict[str, list[tuple]] = {}
+    for a in found:
+        name = "levenshtein" if a["column"].endswith("_soundex") else a["algorithm"]
+        levels.setdefault(a["column"], []).extend((name, t, a["params"]) for t in a["thresholds"])
+    return [Comparison(c, f"{c}_l", f"{c}_r", tuple(v)) for c, v in levels.items()]
+
+
+@dataclass
+class Settings:
+    """How two tables are linked: only between them, all pairs or those that agree on the blocking columns."""
+
+    output: str
+    field_l: str
+    field_r: str
+    algorithms: list[dict]
+    comparisons: list[Comparison]
+    blocking: list[tuple[str, str]] = field(default_factory=list)
+
+
+def settings(output: str, config: dict) -> Settings:
+    """From {general_config_algorithms: {key: {algorithm, thresholds, params}}, entity_categories: {output: {field_l, field_r, algorithms}}}."""
+    entity = config["entity_categories"][output]
+    found = algorithms(output, entity, config.get("general_config_algorithms", {}))
+    return Settings(output, entity["field_l"], entity["field_r"], found, grouped(found), [tuple(b) for b in entity.get("blocking", [])])
+
+
+def prepare(df: DataFrame, column: str, output: str, found: list[dict] = ()) -> DataFrame:
+    """df with unique_id, its column under the output's name, and the columns that algorithms derive, worked out once for each
+    distinct text. Unchanged if it holds comparing_data_type, the mark of prepared tables."""
+    if "comparing_data_type" in df.columns:
+        return df
+    if "unique_id" not in df.columns:
+        df = df.withColumn("unique_id", F.col("id"))
+    if column in df.columns and column != output:
+        df = df.withColumn(output, F.col(column)).drop(column)
+    for name in dict.fromkeys(a["algorithm"] for a in found):
+        if name in DERIVED and output + DERIVED[name][0] not in df.columns:
+            suffix, make = DERIVED[name]
+            df = enrich_distinct(df, output, {output + suffix: make(F.col(output))})
+    return df
+
+
+def unique_citations(df: DataFrame, column: str) -> DataFrame:
+    """One row for each value of the column."""
+    return df.dropDuplicates([column])
+
+
+def sampled_pairs(left: DataFrame, right: DataFrame, max_pairs: float) -> DataFrame:
+    """At most about max_pairs random pairs of two tables: all of them if there are no more, else those of random rows of both sides,
+    so that no more pairs are made than asked for."""
+    n, m = left.count(), right.count()
+    if n * m > max_pairs:
+        share = (max_pairs / (n * m)) ** 0.5
+        pick = lambda df, part: df.filter(F.pmod(F.xxhash64("unique_id"), F.lit(1_000_003)) < F.lit(part * 1_000_003))
+        right_share = max(share, min(1.0, 1000 / m))
+        left, right = pick(left, max_pairs / (n * m) / right_share), pick(right, right_share)
+    return left.crossJoin(right)
+
+
+def train(citations: DataFrame, voices: DataFrame, sample: DataFrame, label: str, wanted: Settings, max_pairs: float = 1e6) -> Model:
+    """m from the labelled pairs, u from random pairs, then expectation maximisation of m and the match share over the same pairs."""
+    cited = prepare(citations, wanted.field_l, wanted.output, wanted.algorithms)
+    said = prepare(voices, wanted.field_r, wanted.output, wanted.algorithms)
+    names = list(dict.fromkeys(c.left.removesuffix("_l") for c in wanted.comparisons))
+    left = cited.select(F.col("unique_id").alias("unique_id"), *[F.col(n).alias(f"{n}_l") for n in names], *[a for a, _ in wanted.blocking])
+    right = said.select(F.col("unique_id").alias("unique_id"), *[F.col(n).alias(f"{n}_r") for n in names], *[b for _, b in wanted.blocking])
+    random = compare(sampled_pairs(left, right, max_pairs), wanted.comparisons)
+    known = training_pairs(sample, cited.drop("id").withColumnRenamed("unique_id", "id"), said.drop("id").withColumnRenamed("unique_id", "id"), label).select("unique_id_l", "unique_id_r")
+    labelled = known.join(left.withColumnRenamed("unique_id", "unique_id_l"), "unique_id_l").join(right.withColumnRenamed("unique_id", "unique_id_r"), "unique_id_r")
+    u = estimate(random, wanted.comparisons)
+    m = estimate(compare(labelled, wanted.comparisons), wanted.comparisons)
+    return maximise(random, Model(wanted.comparisons, m, u))[0]
+
+
 def compare(pairs: DataFrame, comparisons: list[Comparison]) -> DataFrame:
     return pairs.select("*", *[c.gamma().alias(f"gamma_{c.name}") for c in comparisons])
 

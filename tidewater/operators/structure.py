@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.schema import parse_as, properties, rebuild, spark_type
 from ..functions.strings import correct, flatten, tidy
+from .fill import source
 
 SOURCE, DETAIL = "_extraction_source_method", "_detailed_value"
 ORIGINS = ("default_value", "original_value", "calculated_value", "boat_fact_model")
@@ -138,10 +139,10 @@ def reorder(df: DataFrame, schema: dict) -> DataFrame:
 
 
 def decrement_date(origin: Column, amount: Column, unit: Column) -> Column:
-    """A date less so many days or hours; unknown units are days."""
-    name, n = F.lower(F.trim(unit)), amount.try_cast("double")
+    """A date less so many whole days or hours (the amount is floored); unknown units are days."""
+    name, n = F.lower(F.trim(unit.cast("string"))), F.floor(amount.try_cast("double")).cast("int")
     by_hours = F.to_date(F.timestamp_seconds(F.unix_timestamp(origin.cast("timestamp")) - n * 3600))
-    return F.when(name.isin("h", "hours", "h."), by_hours).otherwise(F.date_sub(origin.cast("date"), F.floor(n).cast("int")))
+    return F.when(name.isin("h", "hours", "h."), by_hours).otherwise(F.date_sub(origin.cast("date"), n))
 
 
 def date_difference(final: Column, origin: Column) -> Column:
@@ -149,16 +150,16 @@ def date_difference(final: Column, origin: Column) -> Column:
 
 
 def calculate(df: DataFrame, schema: dict) -> DataFrame:
-    """Fills NULL or missing fields by their calculable_if_null operation, in schema order."""
+    """Fills NULL or missing fields by their calculable_if_null operation, in schema order. Parameters are columns, LIT(...) or {type, value}."""
     for name, node in properties(schema).items():
         spec = node.get("calculable_if_null")
         if not spec:
             continue
         p = spec.get("parameters", spec.get("params", {}))
         if spec["operation"] == "decrement_data":
-            value = decrement_date(F.col(p["origin_date"]).try_cast("date"), F.col(p["decrement"]), F.col(p["decrement_unit"]))
+            value = decrement_date(source(p.get("origin_date")).try_cast("date"), source(p.get("decrement")), source(p.get("decrement_unit")))
         elif spec["operation"] == "data_difference":
-            value = date_difference(F.col(p["final_date"]), F.col(p["origin_date"]))
+            value = date_difference(source(p.get("final_date")), source(p.get("origin_date")))
         else:
             raise ValueError(f"unknown operation {spec['operation']!r}")
         df = df.withColumn(name, F.coalesce(F.col(name), value.cast(df.schema[name].dataType)) if name in df.columns else value)

@@ -69,7 +69,7 @@ _ENTRIES = "(SELECT CAST(o_orderkey AS VARCHAR) entry_id, 't' || o_orderkey temp
 _CARGO = f"(SELECT *, DENSE_RANK() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey) - 1 AS merchant_idx, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber, l_partkey, l_quantity) - 1 AS cargo_idx FROM ({LINES}) JOIN orders ON o_orderkey = l_orderkey)"
 
 
-@query(FLAGSHIP, f"SELECT l_orderkey || '-cargo_commodity-' || merchant_idx || '-' || cargo_idx AS id, CAST(l_orderkey AS VARCHAR) AS entry_id, CAST(merchant_idx AS INTEGER) AS merchant_idx, CAST(cargo_idx AS INTEGER) AS cargo_idx, commodity AS citation FROM {_CARGO}")
+@query(FLAGSHIP, f"SELECT l_orderkey || '-cargo_list.cargo.cargo_commodity-' || merchant_idx || '-' || cargo_idx AS id, CAST(l_orderkey AS VARCHAR) AS entry_id, CAST(merchant_idx AS INTEGER) AS merchant_idx, CAST(cargo_idx AS INTEGER) AS cargo_idx, commodity AS citation FROM {_CARGO}")
 def flagship(spark, d):
     schema = {"properties": {"cargo_list": CARGO_NODE}}
     df = structure.complete(entries(spark, d).select("entry_id", "temp_key", "cargo_list"), schema)
@@ -242,15 +242,13 @@ _COLUMN = {"ship_types": "c_mktsegment", "ship_tons_units": "o_orderpriority", "
 for _name, _mention in extract.SINGLE.items():
     query(f"extract_{_name}", f"SELECT entry_id AS id, entry_id, temp_key, '{_mention.origin}' AS field_origin, {_COLUMN[_name]} AS citation FROM {_ENTRIES}")(lambda spark, d, m=_mention: extract.mentions(entries(spark, d), m))
 _KEYS = "CAST(l_orderkey AS VARCHAR) AS entry_id, 't' || l_orderkey AS temp_key"
-query("extract_cargo_merchants", f"SELECT DISTINCT l_orderkey || '-cargo_merchant_name-' || merchant_idx AS id, {_KEYS}, 'cargo_merchant_name' AS field_origin, CAST(merchant_idx AS INTEGER) AS merchant_idx, 's' || l_suppkey AS citation FROM {_CARGO}")(lambda spark, d: extract.mentions(entries(spark, d), extract.NESTED["cargo_merchants"]))
-for _name, _value in (("cargo_commodities", "commodity"), ("cargo_units", "unit")):
-    _origin = extract.NESTED[_name].origin
+query("extract_cargo_merchants", f"SELECT DISTINCT l_orderkey || '-cargo_list.cargo_merchant_name-' || merchant_idx AS id, {_KEYS}, 'cargo_list.cargo_merchant_name' AS field_origin, CAST(merchant_idx AS INTEGER) AS merchant_idx, 's' || l_suppkey AS citation FROM {_CARGO}")(lambda spark, d: extract.mentions(entries(spark, d), extract.NESTED["cargo_merchants"]))
+for _name, _value, _origin in (("cargo_commodities", "commodity", "cargo_list.cargo.cargo_commodity"), ("cargo_units", "unit", "cargo_list.cargo.cargo_unit")):
     query(f"extract_{_name}", f"SELECT l_orderkey || '-{_origin}-' || merchant_idx || '-' || cargo_idx AS id, {_KEYS}, '{_origin}' AS field_origin, CAST(merchant_idx AS INTEGER) AS merchant_idx, CAST(cargo_idx AS INTEGER) AS cargo_idx, {_value} AS citation FROM {_CARGO}")(lambda spark, d, n=_name: extract.mentions(entries(spark, d), extract.NESTED[n]))
-query("extract_commodities_and_units", f"SELECT l_orderkey || '-cargo_commodity_and_unit-' || merchant_idx || '-' || cargo_idx AS id, {_KEYS}, 'cargo_commodity_and_unit' AS field_origin, CAST(merchant_idx AS INTEGER) AS merchant_idx, CAST(cargo_idx AS INTEGER) AS cargo_idx, commodity AS cargo_commodity_citation, unit AS cargo_unit_citation, commodity || '-' || unit AS citation FROM {_CARGO}")(lambda spark, d: extract.commodities_and_units(entries(spark, d)))
+query("extract_commodities_and_units", f"SELECT l_orderkey || '-cargo_list.cargo-' || merchant_idx || '-' || cargo_idx AS id, {_KEYS}, 'cargo_list.cargo' AS field_origin, CAST(merchant_idx AS INTEGER) AS merchant_idx, CAST(cargo_idx AS INTEGER) AS cargo_idx, commodity AS cargo_commodity_citation, unit AS cargo_unit_citation, commodity || '-' || unit AS citation FROM {_CARGO}")(lambda spark, d: extract.commodities_and_units(entries(spark, d)))
 query("extract_ports", f"""SELECT entry_id || '-travel_departure_port-0' AS id, entry_id, temp_key, 'travel_departure_port' AS field_origin, 0 AS port_idx, n_name AS citation FROM {_ENTRIES}
-UNION ALL SELECT entry_id || '-travel_port_of_call-' || i, entry_id, temp_key, 'travel_port_of_call', i, CASE WHEN i = 0 THEN n_name ELSE c_mktsegment END FROM {_ENTRIES}, (SELECT UNNEST([0, 1]) AS i) WHERE n_name IS NOT NULL
+UNION ALL SELECT entry_id || '-travel_port_of_call_list-' || i, entry_id, temp_key, 'travel_port_of_call_list', i, CASE WHEN i = 0 THEN n_name ELSE c_mktsegment END FROM {_ENTRIES}, (SELECT UNNEST([0, 1]) AS i) WHERE n_name IS NOT NULL
 UNION ALL SELECT entry_id || '-travel_arrival_port-0', entry_id, temp_key, 'travel_arrival_port', 0, o_orderstatus FROM {_ENTRIES}""")(lambda spark, d: extract.ports(entries(spark, d)))
-query("extract_ships", f"SELECT entry_id AS id, entry_id, temp_key, n_name AS travel_departure_port_citation, strftime(o_orderdate, '%Y-%m-%d') AS travel_departure_date_citation, o_orderstatus AS travel_arrival_port_citation, strftime(o_orderdate, '%Y-%m-%d') AS travel_arrival_date_citation, c_mktsegment AS ship_type_citation, n_name AS ship_flag_citation, c_name AS ship_name_citation, o_orderstatus AS master_role_citation, c_name AS master_name_citation, 'single_ship_entry_fields' AS field_origin FROM {_ENTRIES}")(lambda spark, d: extract.entry_fields(entries(spark, d)).drop("ship_tons_capacity_citation"))
 
 
 def part_voices(spark, d):
@@ -296,8 +294,8 @@ def duplicates_log(spark, d):
 @query("missing_dates", "SELECT CAST(day AS DATE) AS day FROM (SELECT UNNEST(generate_series(min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY)) AS day FROM lineitem) WHERE CAST(day AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 1)")
 def missing_dates(spark, d):
     li = table(spark, d, "lineitem")
-    ends = li.agg(F.min(F.to_date("l_shipdate")).alias("a"), F.max(F.to_date("l_shipdate")).alias("b")).first()
-    return ingest.missing_dates(li.filter("l_returnflag = 'A' and l_linenumber = 1"), "l_shipdate", ends["a"], ends["b"])
+    ends = li.agg(F.min(F.to_date("l_shipdate")).alias("a"), F.max(F.to_date("l_shipdate")).alias("b"))
+    return ingest.missing_dates(li.filter("l_returnflag = 'A' and l_linenumber = 1"), "l_shipdate", bounds=ends)
 
 
 @query("number_rows", "SELECT o_orderkey, 100 + row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS seq FROM orders")
@@ -305,8 +303,12 @@ def number_rows(spark, d):
     return ingest.number_rows(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"], 100).select("o_orderkey", "seq")
 
 
-def _store(spark) -> TableStore:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/tidewater"
+def store(spark) -> TableStore:
+    """A store of a new lake in the shared folder; only a local session may leave that unnamed."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    base = base or "/tmp/checkpoints/tidewater"
     protocol, _, path = base.rpartition("://") if "://" in base else ("file", "", base)
     return TableStore(spark, LakeConfig(protocol=f"{protocol}://", base_path=path.removeprefix("file:"), project=f"q-{uuid.uuid4().hex}"))
 
@@ -315,26 +317,26 @@ def _store(spark) -> TableStore:
 def merge_upsert(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
     fresh = c.filter("c_custkey % 3 = 0").withColumn("c_acctbal", F.lit(0.0))
-    store = _store(spark)
-    store.write(c, "customers")
-    store.write(fresh.unionByName(fresh.withColumn("c_custkey", F.col("c_custkey") + 10000000)), "customers", mode="merge", key="c_custkey")
-    return store.read("customers")
+    lake = store(spark)
+    lake.write(c, "customers")
+    lake.write(fresh.unionByName(fresh.withColumn("c_custkey", F.col("c_custkey") + 10000000)), "customers", mode="merge", key="c_custkey")
+    return lake.read("customers")
 
 
 @query("table_versions", "SELECT n_nationkey, n_name FROM nation")
 def table_versions(spark, d):
-    store, n = _store(spark), table(spark, d, "nation").select("n_nationkey", "n_name")
-    store.write(n, "nations")
-    store.write(n, "nations", mode="append")
-    store.restore("nations", version=0)
-    return store.read("nations")
+    lake, n = store(spark), table(spark, d, "nation").select("n_nationkey", "n_name")
+    lake.write(n, "nations")
+    lake.write(n, "nations", mode="append")
+    lake.restore("nations", version=0)
+    return lake.read("nations")
 
 
 @query("state_incremental", "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F'")
 def state_incremental(spark, d):
-    store, o = _store(spark), table(spark, d, "orders")
-    store.update_state(o.filter("o_orderstatus = 'F'"), "orders", key="o_orderkey", done=True)
-    return store.pending(o.select("o_orderkey"), "orders", key="o_orderkey")
+    lake, o = store(spark), table(spark, d, "orders")
+    lake.update_state(o.filter("o_orderstatus = 'F'"), "orders", key="o_orderkey", done=True)
+    return lake.pending(o.select("o_orderkey"), "orders", key="o_orderkey")
 
 
 @query("upsert_plain", "SELECT s_suppkey, CASE WHEN s_nationkey < 10 THEN 'moved' ELSE s_name END AS s_name FROM supplier")
@@ -393,11 +395,6 @@ def sim_ngram_jaccard(spark, d):
     return table(spark, d, "part").select("p_partkey", F.round(sim.ngram_jaccard(F.col("p_name"), F.lower("p_type")), 9).alias("s"))
 
 
-@query("sim_soundex")
-def sim_soundex(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.soundex("p_name").alias("code"), sim.soundex_ratio(F.col("p_name"), F.col("p_type")).alias("s"))
-
-
 @query("sim_double_metaphone")
 def sim_double_metaphone(spark, d):
     names = table(spark, d, "part").withColumn("a", sim.double_metaphone("p_name"))
@@ -482,22 +479,12 @@ def cartesian_pairs(spark, d):
     return pairs(spark, d)
 
 
-@query("lineage_change_types")
-def lineage_change_types(spark, d):
-    from ..lineage import Log, Traced
-
-    store = _store(spark)
-    log = Log(store)
-    frame = Traced(table(spark, d, "nation"), "nation").withColumn("loud", F.upper("n_name")).drop("n_regionkey")
-    version = store.write(frame.df, "nations")
-    log.stored(frame, "nations", version, "overwrite")
-    log.flush()
-    return log.read("field_lineage").select("position", "operation", "change")
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+from . import layered  # noqa: E402, F401  registers its queries here
