@@ -197,3 +197,13 @@ def test_layers_by_name(spark, tmp_path):
         layer.voices("none")
     with pytest.raises(ValueError):
         layer.register_view(spark.range(1))
+
+
+def test_files_of_unknown_form(spark, tmp_path):
+    from tidewater.sources.files import read_any
+
+    forms = {"json": '[{"a": "1", "b": "x"}]', "csv": "A,B\n1,x\n", "xml": "<all><row><a>1</a><b>x</b></row></all>", "yaml": "- a: '1'\n  b: x\n"}
+    for name, text in forms.items():
+        (tmp_path / f"{name}.dat").write_text(text)
+        row = read_any(spark, f"{tmp_path}/{name}.dat").first()
+        assert (row["a"], row["b"]) == ("1", "x")

@@ -34,7 +34,20 @@ def _yaml(text: str) -> list:
     return value if isinstance(value, list) else [value]
 
 
+def _element(node):
+    """An XML element as a value: its text, or its children by name (lists where a name repeats)."""
+    found: dict = dict(node.attrib)
+    for child in node:
+        value = _element(child)
+        if child.tag in found:
+            found[child.tag] = [*(found[child.tag] if isinstance(found[child.tag], list) else [found[child.tag]]), value]
+        else:
+            found[child.tag] = value
+    return found or (node.text or "").strip()
+
+
 def _sniff(text: str) -> list:
+    """Records of a text of unknown form: JSON, XML (the root's children), CSV with a header, else YAML."""
     try:
         value = json.loads(text)
         return value if isinstance(value, list) else [value]
@@ -43,8 +56,12 @@ def _sniff(text: str) -> list:
     import csv
     import io
 
+    if text.lstrip().startswith("<"):
+        from xml.etree import ElementTree
+
+        return [_element(child) for child in ElementTree.fromstring(text)]
     first = text.lstrip().split("\n", 1)[0]
-    if "," in first and ":" not in first and not first.startswith("<"):
+    if "," in first and ":" not in first:
         return [{k.lower(): v for k, v in row.items()} for row in csv.DictReader(io.StringIO(text))]
     return _yaml(text)
 
