@@ -331,7 +331,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold(doc_id) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
+def train(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> Model:
     """Learns from the labelled rows that are not held out; a sixth of all rows is for the curve, the rest for the counts."""
     ship()
     known = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("l_id")))
@@ -340,13 +340,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     # the same join at every size
     rows = texts.join(known.hint("merge"), texts.doc_id == known.l_id).select("doc_id", "text", "toxic")
     for_curve = fold(F.col("doc_id")) % 6 == 5
-    grams = materialise(counted(rows.filter(~for_curve)))
+    grams = materialise(counted(rows.filter(~for_curve), order))
     sums = grams.agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).first()
     if not sums["ordinary"] or not sums["toxic"]:
         share = known.agg(F.avg("toxic")).first()[0]
         return Model(None, None, 0.5 if share is None else float(share))
     made = [grams]
-    pages = store(ratios(grams, made))
+    pages = store(ratios(grams, made, order), order)
     for old in made:
         release(old)
 
