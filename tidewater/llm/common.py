@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import sys
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs
@@ -50,12 +53,15 @@ def opened(path: str) -> pa.NativeFile:
 
 #: Drops a query's shuffle files as soon as it has ended.
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: By thread: the tables that materialise() has written since scratch() began there.
+WRITTEN: dict[int, list[str]] = {}
 
 
 def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, survives lost executors, and frees the shuffle files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    WRITTEN.get(threading.get_ident(), []).append(path)
     before = spark.conf.get(CLEAN, "false")
     spark.conf.set(CLEAN, "true")
     try:
@@ -67,10 +73,28 @@ def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
 
 def release(df: DataFrame) -> None:
     """Delete a table that materialise() wrote and no plan still needs."""
-    spark = df.sparkSession
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, name)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Lists the tables that materialise() writes inside, in this thread, and deletes at its end those that are still listed."""
+    me, tables = threading.get_ident(), []
+    outer, WRITTEN[me] = WRITTEN.get(me), tables
+    try:
+        yield tables
+    finally:
+        WRITTEN.pop(me)
+        if outer is not None:
+            WRITTEN[me] = outer
+        for folder in tables:
+            delete(spark, folder)
 
 
 def unused(df: DataFrame, name: str) -> str:
