@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import packing, quality, simhash, suffix, toxicity
-from tidewater.llm.common import materialise, table
+from tidewater.llm.common import delete, materialise, scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of sf_dir. What a stage wrote goes when its result is stored, and that when the next one's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        with scratch(spark) as tables:
+            docs = materialise(stage(spark, docs, sf_dir))
+            stored = tables.pop()
+        if before:
+            delete(spark, before)
+        before = stored
     return STAGES[-1][1](spark, docs, sf_dir)
