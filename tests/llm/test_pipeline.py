@@ -1,5 +1,6 @@
 """Every stage of the pipeline against plain Python over what the stage before kept, on documents with planted cases."""
 
+import glob
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ from test_llm import brute_ratios
 from tokenizers import Tokenizer
 
 from tidewater.llm import packing, quality, toxicity
+from tidewater.llm.common import shared_dir
 
 WORDS = "the of and river stone light under garden quiet window paper seven blue walk morning lamp harbour table".split()
 PASSAGE = "all rights to this text remain with its author and no part of it may be printed again without leave in writing"
@@ -163,7 +165,10 @@ def test_every_stage_is_the_plain_one(spark, tmp_path):
     assert not {i for i in of("copy") if any(row[0] < i and row[1] == docs[i // 5][1] for row in docs)} & kept["SimHash near-dedup"]
     assert sum(PASSAGE in row[1] for row in left["suffix-array dedup"]) == 1 and of("clean") - kept["SimHash near-dedup"] == set()
     assert_packed(corpus_pipeline.STAGES[-1][1](spark, now, folder).collect(), left["suffix-array dedup"])
+    listed = lambda: set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/table-*"))
+    tables = listed()
     assert_packed(corpus_pipeline.run(spark, folder).collect(), left["suffix-array dedup"])
+    assert len(listed() - tables) == 1  # what the last stage reads
 
 
 def test_stages_with_odd_tables(spark, tmp_path):
