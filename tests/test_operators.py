@@ -126,6 +126,15 @@ def test_migrations(spark, tmp_path):
     assert steps.run() == "v2" and steps.run() == "v2" and seen == [1, 2]
 
 
+def test_config_of_a_file(tmp_path):
+    path = tmp_path / "cfg.json"
+    path.write_text('{"protocol": "hdfs://", "base_path": "/lake", "configs": [{"spark.a": 1}, {"spark.b": "x"}], "spark.sql.shuffle.partitions": 8}')
+    config = LakeConfig.from_json(str(path))
+    assert config.path("news.raw") == "hdfs:///lake/default/ingest/news/raw"
+    assert config.options == {"spark.a": "1", "spark.b": "x", "spark.sql.shuffle.partitions": "8"}
+    assert LakeConfig.from_json(str(tmp_path / "none.json")) == LakeConfig()
+
+
 def test_phonetic():
     assert abs(jaro_winkler("MARTHA", "MARHTA") - 0.9611) < 1e-4 and jaro_winkler("", "a") == 0.0
     assert double_metaphone("Smith") == ("SM0", "XMT") and double_metaphone("Thompson")[0].startswith("TM") and double_metaphone("") == ("", "")

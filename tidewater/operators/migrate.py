@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ingest import date_parts
+
 
 class MigrationError(RuntimeError):
     """A step failed."""
@@ -18,13 +20,18 @@ class VersionError(MigrationError):
 
 
 def pad_ids(df: DataFrame, key: str = "entry_id", within: tuple[str, ...] = (), shortest: int = 13) -> DataFrame:
-    """prefix_number with the number in ten digits, for all rows of a group that holds a shorter id."""
+    """prefix_number with the number in ten digits, for all rows of a group that holds a shorter id; rows with a null in `within` stay as they are."""
     parts = F.split(F.col(key), "_")
     padded = F.concat(F.get(parts, F.lit(0)), F.lit("_"), F.lpad(F.get(parts, F.lit(1)), 10, "0"))
     if not within:
         return df.withColumn(key, F.when(F.length(key) < shortest, padded).otherwise(F.col(key)))
     short = df.groupBy(*within).agg(F.max((F.length(key) < shortest).cast("int")).alias("_short"))
-    return df.join(short, list(within)).withColumn(key, F.when(F.col("_short") == 1, padded).otherwise(F.col(key))).drop("_short")
+    return df.join(short, list(within), "left").withColumn(key, F.when(F.col("_short") == 1, padded).otherwise(F.col(key))).drop("_short")
+
+
+def pad_dated(df: DataFrame, key: str = "entry_id", date: str = "publication_date", within: tuple[str, ...] = ("publication_name", "publication_edition")) -> DataFrame:
+    """The date's parts anew, then padded ids, by group of `within` and day."""
+    return pad_ids(date_parts(df, date), key, (*within, *(f"{date}_{part}" for part in ("year", "month", "day"))))
 
 
 def split_ids(df: DataFrame, key: str = "entry_id", order: tuple[str, ...] = ("publication_date",)) -> DataFrame:

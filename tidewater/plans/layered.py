@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as sim
 from ..layers import Cleaning, Ingestion, Layer, container
 from ..lineage import Log, Traced
-from ..operators import cleaning, extract, linkage, structure
+from ..operators import cleaning, extract, linkage, migrate, structure
 from ..sources.files import raw_entries
 from .catalog import _CARGO, _ENTRIES, entries, part_voices, query, store, table
 
@@ -121,6 +121,21 @@ def calc_hours_floored(spark, d):
     return structure.calculate(df, {"properties": {"departure": {"type": "string", "format": "date", "calculable_if_null": spec}}}).select("o_orderkey", "departure")
 
 
+@query(
+    "patch_dated_ids",
+    "WITH e AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'pub_' ELSE 'publication_' END || o_orderkey AS entry_id, o_orderpriority AS edition, "
+    "CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders) "
+    "SELECT o_orderkey, CASE WHEN day IS NOT NULL AND min(length(entry_id)) OVER (PARTITION BY day, edition) < 13 "
+    "THEN split_part(entry_id, '_', 1) || '_' || lpad(split_part(entry_id, '_', 2), 10, '0') ELSE entry_id END AS entry_id, "
+    "CAST(year(day) AS INTEGER) AS publication_date_year, CAST(month(day) AS INTEGER) AS publication_date_month, CAST(day(day) AS INTEGER) AS publication_date_day FROM e",
+)
+def patch_dated_ids(spark, d):
+    prefix = F.when(F.col("o_orderkey") % 3 == 0, "pub_").otherwise("publication_")
+    day = F.when(F.col("o_orderkey") % 7 != 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+    df = table(spark, d, "orders").select("o_orderkey", F.concat(prefix, F.col("o_orderkey").cast("string")).alias("entry_id"), day.alias("publication_date"), F.lit("n").alias("publication_name"), F.col("o_orderpriority").alias("publication_edition"))
+    return migrate.pad_dated(df).select("o_orderkey", "entry_id", *(f"publication_date_{part}" for part in ("year", "month", "day")))
+
+
 # --- storage ------------------------------------------------------------------------------------------------------------
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import os
 import re
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,19 @@ class LakeConfig:
     master: str | None = None
     options: dict[str, str] = field(default_factory=dict)
 
+    @classmethod
+    def from_json(cls, path: str = "config/cfg.json") -> LakeConfig:
+        """The configuration in a JSON file, the default one where there is no file. Names of fields set these; all other names, and
+        those of the objects listed under "configs", are options of the session."""
+        if not os.path.exists(path):
+            return cls()
+        with open(path) as file:
+            found = json.load(file)
+        listed = {k: v for part in found.pop("configs", []) for k, v in part.items()}
+        own = {f.name for f in fields(cls)} - {"options"}
+        options = listed | {k: v for k, v in found.items() if k not in own}
+        return cls(**{k: v for k, v in found.items() if k in own}, options={k: str(v) for k, v in options.items()})
+
     def with_project(self, name: str) -> LakeConfig:
         return replace(self, project=name)
 
